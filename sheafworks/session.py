@@ -71,3 +71,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def materialise(df, name: str):
+    """Writes a DataFrame as Parquet into the shared folder and reads it back: lineage ends in files that outlive executors."""
+    spark = df.sparkSession
+    uri = work_uri(spark, name)
+    df.write.parquet(uri)
+    return spark.read.schema(df.schema).parquet(uri)
