@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sheafworks.llm import exact_dedup, html_blocks, langid, packing, secrets, sp_wfst, warc
+from sheafworks.llm import exact_dedup, html_blocks, kn_lm, langid, packing, secrets, sp_wfst, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.query,
     "op3_best_fit_packing": packing.query,
     "op4_html_extraction": html_blocks.query,
     "op5_secret_scan": secrets.query,
+    "op6_lm_scoring": kn_lm.query,
     "op7_arc_to_warc": warc.query,
     "op8_sentencepiece": sp_wfst.query,
     "op9_language_id": langid.query,
