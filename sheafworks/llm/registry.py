@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheafworks.llm import exact_dedup, html_blocks, kn_lm, langid, packing, secrets, sp_wfst, warc
+from sheafworks.llm import exact_dedup, html_blocks, jaccard_join, kn_lm, langid, packing, secrets, sp_wfst, warc
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.query,
@@ -13,7 +13,9 @@ QUERIES = {
     "op7_arc_to_warc": warc.query,
     "op8_sentencepiece": sp_wfst.query,
     "op9_language_id": langid.query,
+    "op10_ngram_jaccard_join": jaccard_join.query,
 }
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op10_ngram_jaccard_join": jaccard_join.SQL,
 }
