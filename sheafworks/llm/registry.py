@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sheafworks.llm import exact_dedup, html_blocks, jaccard_join, kn_lm, langid, packing, secrets, sp_wfst, warc
+from sheafworks.llm import exact_dedup, hnsw, html_blocks, jaccard_join, kn_lm, langid, packing, secrets, sp_wfst, warc
 
 QUERIES = {
+    "op1_ann_search": hnsw.query,
     "op2_exact_dedup": exact_dedup.query,
     "op3_best_fit_packing": packing.query,
     "op4_html_extraction": html_blocks.query,
