@@ -19,6 +19,7 @@ pieces' bytes, undoes the normaliser and reproduces every input without U+2581.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheafworks.session import read_table
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-MEMORY = 600_000  # parts whose paths a worker remembers
+MEMORY = 1_000_000  # parts whose paths a worker remembers
 _SPACE = "▁"
 _INF = float("inf")
 
@@ -234,11 +235,17 @@ class Transducer:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+@functools.lru_cache(maxsize=2)
+def transducer(path: str) -> Transducer:
+    """The compiled model; a worker process keeps it, and the paths it remembers, from task to task."""
+    return Transducer(path)
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
     """id, piece ids, their number, and whether decoding gives the text back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Transducer(model_path)
+        t = transducer(model_path)
         for batch in batches:
             step = 500
             for lo in range(0, batch.num_rows, step):
@@ -268,7 +275,7 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model_pa
     """id and text of piece ids; null where the ids are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Transducer(model_path)
+        t = transducer(model_path)
         for batch in batches:
             texts = [None if ids is None else t.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
