@@ -1,11 +1,9 @@
-"""Names of queries → functions (spark, sf_dir) → DataFrame, with their SQL counterparts."""
+"""All queries, by name: functions (spark, sf_dir) → DataFrame, with their SQL counterparts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from sheafworks.plans import corpus, datasets, download, layout, structure, urls
+from sheafworks.plans.base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+MODULES = (corpus, datasets, download, layout, structure, urls)
+__all__ = ["MODULES", "ORACLES", "QUERIES"]
