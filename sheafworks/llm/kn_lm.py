@@ -6,7 +6,7 @@ counts of counts, discounts, context totals and the interpolated probabilities a
 the distinct n-grams. The model is stored in the shared folder as arrays sorted by a 64-bit hash of the n-gram (order by
 order, split into shards by the hash's leading bits), which workers map into memory; they look up whole batches at once.
 
-A text is lower-cased, white space is collapsed, and it is preceded by ``order - 1`` start symbols and followed by an end
+A text is lower-cased, runs of white space and control characters become one space, and it is preceded by ``order - 1`` start symbols and followed by an end
 symbol; ``perplexity = 10 ** (-log10 p / (characters + 1))``. For n-grams that begin with a start symbol raw counts stand
 in place of continuation counts. Symbols that were never seen have the uniform share of the lowest order.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
 import shutil
 from collections.abc import Iterator
 
@@ -35,6 +36,7 @@ ORDER = 5
 BOS, EOS = "\x02", "\x03"
 SHARD_NGRAMS = 8_000_000  # n-grams in a file of the model
 CHUNK = 2_000_000  # symbols a worker handles at once
+_CONTROL = re.compile(r"[\x00-\x1f]")
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,10 +51,8 @@ def symbols(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     pad = BOS * (order - 1)
     codes = np.frombuffer("".join([f"{pad}{t}{EOS}" for t in clean]).encode("utf-32-le", "surrogatepass"), "<u4")
     lens = np.fromiter(map(len, clean), np.int64, len(clean)) + order
-    low = np.flatnonzero((codes < 32) & (codes != 2) & (codes != 3))
-    if len(low):
-        codes = codes.copy()
-        codes[low] = 32
+    if np.count_nonzero(codes < 32) != order * len(clean):  # control characters, which count as spaces
+        return symbols([_CONTROL.sub(" ", t) for t in texts], order)
     return codes, lens
 
 
