@@ -32,6 +32,7 @@ from sheafworks.session import read_table
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MEMORY = 1_000_000  # parts whose paths a worker remembers
 _SPACE = "▁"
+_HEAD = 5  # characters of a part's beginning whose lattice states are shared
 _INF = float("inf")
 
 
@@ -82,6 +83,7 @@ class Transducer:
         self.spans = {c: sorted(n, reverse=True) for c, n in self.spans.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.grammar: dict[int, bool] = {}
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
         self.inside = {p[i : i + 2] for p in self.lexicon for i in range(len(p) - 1)}
         alphabet = {c for p in self.lexicon for c in p}
         inner = any(_SPACE in p.lstrip(_SPACE) for p in self.lexicon)
@@ -170,9 +172,26 @@ class Transducer:
 
     def _solve_bpe(self, part: str) -> list[int]:
         """The path of finite weight. ``last[j]`` is the piece that ends it at position j (-1: a bare character)."""
-        n, lexicon, spans, follows, grammar = len(part), self.lexicon.get, self.spans.get, self.follows, self.grammar.get
-        last, size = [0] * (n + 1), [1] * (n + 1)
-        for j in range(1, n + 1):
+        n, head = len(part), part[:_HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            known = self._advance(head, [0], [1])
+            if len(self.heads) >= 100_000:
+                self.heads.clear()
+            self.heads[head] = known
+        last, size = known if n <= _HEAD else self._advance(part, *known)
+        out, j = [], n
+        while j:
+            i = j - size[j]
+            out.append([last[j]] if last[j] >= 0 else self._fallback(part[i:j]))
+            j = i
+        return [x for ids in reversed(out) for x in ids]
+
+    def _advance(self, part: str, last: list[int], size: list[int]) -> tuple[list[int], list[int]]:
+        """Extends the states of a beginning of the part, which don't depend on what follows, to the whole part."""
+        last, size = last.copy(), size.copy()
+        lexicon, spans, follows, grammar = self.lexicon.get, self.spans.get, self.follows, self.grammar.get
+        for j in range(len(last), len(part) + 1):
             for length in spans(part[j - 2 : j], ()) if j > 1 else ():
                 i = j - length
                 if i < 0:
@@ -180,12 +199,7 @@ class Transducer:
                 p = lexicon(part[i:j])
                 if p is None:
                     continue
-                if i == 0:
-                    if self.whole(p):
-                        last[j], size[j] = p, length
-                        break
-                    continue
-                before = last[i]
+                before = last[i] if i else -1
                 if before < 0:
                     ok = self.whole(p)
                 else:
@@ -193,16 +207,13 @@ class Transducer:
                     if ok is None:
                         ok = follows(before, p)
                 if ok:
-                    last[j], size[j] = p, length
+                    last.append(p)
+                    size.append(length)
                     break
             else:
-                last[j] = lexicon(part[j - 1], -1)
-        out, j = [], n
-        while j:
-            i = j - size[j]
-            out.append([last[j]] if last[j] >= 0 else self._fallback(part[i:j]))
-            j = i
-        return [x for ids in reversed(out) for x in ids]
+                last.append(lexicon(part[j - 1], -1))
+                size.append(1)
+        return last, size
 
     def _solve_unigram(self, part: str) -> list[int]:
         n, unk_weight = len(part), max(self.weight) + 10.0
