@@ -14,6 +14,7 @@ _SPACE[[9, 10, 12, 13, 32]] = True
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15
+WINDOW = 1 << 20
 _powers = {"n": 0, "up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -35,21 +36,40 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all the texts' words in a row, and how many each text has."""
+    """Hashes of all the texts' words in a row, and how many each text has.
+
+    The bytes are taken window by window, each ending at white space, so what is held beside them is bounded unless a single
+    word is longer than a window.
+    """
     enc = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     lens = np.fromiter(map(len, enc), np.int64, len(enc)) + 1
     buf = np.frombuffer(b" ".join(enc) + b" ", np.uint8)
-    starts = np.cumsum(lens) - lens
+    del enc
+    hashes, firsts, lo = [], [], 0
+    while lo < len(buf):
+        hi = min(len(buf), lo + WINDOW)
+        while hi < len(buf):
+            at = np.flatnonzero(_SPACE[buf[max(lo, hi - 4096) : hi]])
+            if len(at):
+                hi = max(lo, hi - 4096) + int(at[-1]) + 1
+                break
+            hi = min(len(buf), hi + 4096)
+        h, first = _window(buf[lo:hi])
+        hashes.append(h)
+        firsts.append(first + lo)
+        lo = hi
+    h, first = (np.concatenate(hashes), np.concatenate(firsts)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return h, np.diff(np.searchsorted(first, np.append(np.cumsum(lens) - lens, len(buf))))
+
+
+def _window(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and beginnings of the words of bytes that end with white space."""
     up, down = _power_tables(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(_BYTE[buf] * up[: len(buf)], out=sums[1:])
     gap = np.concatenate([[True], _SPACE[buf]])
-    first = np.flatnonzero(gap[:-1] & ~gap[1:])
-    end = np.flatnonzero(~gap[:-1] & gap[1:])
-    end = end[end >= (first[0] + 1 if len(first) else 0)] if len(end) > len(first) else end
-    h = _mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
-    counts = np.diff(np.searchsorted(first, np.append(starts, len(buf))))
-    return h, counts
+    first, end = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+    return _mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64)), first
 
 
 def ngrams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
