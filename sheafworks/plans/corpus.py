@@ -68,14 +68,14 @@ def excluded_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_meta(spark, sf_dir).where(~F.col("top_lang").isin("__label__de", "__label__es")).select("doc_id")
 
 
-@query("quality_median", f"WITH {_D} SELECT median(quality) AS median_quality FROM doc_meta")
+@query("quality_median", f"WITH {_D} SELECT round(median(quality), 6) AS median_quality FROM doc_meta")
 def quality_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return doc_meta(spark, sf_dir).agg(F.median("quality").alias("median_quality"))
+    return doc_meta(spark, sf_dir).agg(F.round(F.median("quality"), 6).alias("median_quality"))
 
 
-@query("perplexity_p80_lang", f"WITH {_D} SELECT top_lang, quantile_cont(perplexity, 0.8) AS threshold FROM doc_meta GROUP BY top_lang")
+@query("perplexity_p80_lang", f"WITH {_D} SELECT top_lang, round(quantile_cont(perplexity, 0.8), 6) AS threshold FROM doc_meta GROUP BY top_lang")
 def perplexity_p80(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whitelist.perplexity_thresholds(doc_meta(spark, sf_dir))
+    return whitelist.perplexity_thresholds(doc_meta(spark, sf_dir)).withColumn("threshold", F.round("threshold", 6))
 
 
 @query("perplexity_bucket", f"WITH {_D}, {_BLACK} SELECT coalesce(bucket, 'none') AS bucket, top_lang, count(*) AS n FROM judged GROUP BY 1, 2")

@@ -80,7 +80,7 @@ def layoutlm_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("id", text("tokens").alias("tokens"), text(F.transform("word_bboxes", lambda b: F.array_join(F.transform(b, lambda v: v.cast("string")), " "))).alias("word_bboxes"), text(F.transform("entity_labels", lambda v: v.cast("string"))).alias("entity_labels"))
 
 
-@query("coco_boxes", "SELECT concat('img', l_orderkey::VARCHAR, '.png') AS file_name, CAST(l_linenumber - 1 AS INT) AS class, round((l_linenumber * 10 + 15) / 500.0, 6) AS cx, round((l_linenumber * 5 + 10) / 400.0, 6) AS cy, 0.06 AS w, 0.05 AS h FROM lineitem")
+@query("coco_boxes", "SELECT concat('img', l_orderkey::VARCHAR, '.png') AS file_name, CAST(l_linenumber - 1 AS INT) AS class, round((l_linenumber * 10 + 15) / 500.0, 6) AS cx, round((l_linenumber * 5 + 10) / 400.0, 6) AS cy, 0.06::DOUBLE AS w, 0.05::DOUBLE AS h FROM lineitem")
 def coco_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     k = F.col("l_linenumber")
