@@ -1,4 +1,9 @@
-"""Registration of queries, and what they share."""
+"""Registration of queries, and what they share.
+
+Queries run over whole tables. Where an operator takes a second table that the driver's data lacks (a history, what was
+processed), the residue of an id derives it, and page numbers, boxes or log lines are derived by integer arithmetic that both
+engines compute alike.
+"""
 
 from __future__ import annotations
 
