@@ -8,7 +8,7 @@ are grouped separately by digest, the lowest id of each group staying. Where a t
 before any new document.
 
 Shards hold about ``SHARD_DIGESTS`` digests whatever the input's size; documents meet their shard by a shuffle of
-(digest, id) only, texts never move, and nothing is broadcast.
+(digest, id) only.
 
 Defined results: null texts are no copies of anything and stay; empty texts are copies of each other; a null id ranks
 last in its group; rows of one id and text are copies too, one of them stays; further columns are carried along untouched.
@@ -132,7 +132,7 @@ def _digest(text_col: str) -> Column:
 
 
 def locate(history: DataFrame, new: DataFrame, n_history: int, shard_digests: int = SHARD_DIGESTS) -> DataFrame:
-    """The rows of ``new`` (digest, doc_id, n; digests distinct) with ``winner``, the locator in the slot that a member hits,
+    """The rows of ``new`` (digest, doc_id, n, same; digests distinct) with ``winner``, the locator in the slot that a member hits,
     and ``member``. ``history`` has distinct digests too."""
     kind = new.schema["doc_id"].dataType.simpleString()
     shards = max(1, -(-n_history // shard_digests))
@@ -144,31 +144,33 @@ def locate(history: DataFrame, new: DataFrame, n_history: int, shard_digests: in
             index = Index(_matrix(old["digest"]), old["doc_id"].to_numpy(dtype=object))
             member, at = index.lookup(_matrix(docs["digest"]))
             winner[member] = index.winners[at[member]]
-        return pd.DataFrame({"digest": docs["digest"], "doc_id": docs["doc_id"], "n": docs["n"], "member": member, "winner": winner})
+        return pd.DataFrame({"digest": docs["digest"], "doc_id": docs["doc_id"], "n": docs["n"], "same": docs["same"], "member": member, "winner": winner})
 
     left = history.select("digest", "doc_id").withColumn("shard", shard).groupBy("shard")
-    right = new.select("digest", "doc_id", "n").withColumn("shard", shard).groupBy("shard")
-    return left.cogroup(right).applyInPandas(look, f"digest binary, doc_id {kind}, n bigint, member boolean, winner {kind}")
+    right = new.select("digest", "doc_id", "n", "same").withColumn("shard", shard).groupBy("shard")
+    return left.cogroup(right).applyInPandas(look, f"digest binary, doc_id {kind}, n bigint, same bigint, member boolean, winner {kind}")
 
 
 def decide(docs: DataFrame, is_history: Column, shard_digests: int = SHARD_DIGESTS) -> DataFrame:
-    """(doc_id, digest, copies, origin) of what stays; ``docs`` has doc_id and text.
+    """(doc_id, digest, copies, same, origin) of what stays; ``docs`` has doc_id and text.
 
-    ``origin`` is ``history`` or ``new``; ``copies`` counts the rows that the winner stands for, itself included.
-    Counts of a digest are combined before they are shuffled, so a text with very many copies is no hot key.
+    ``origin`` is ``history`` or ``new``; ``copies`` counts the rows that the winner stands for, itself included, and ``same``
+    those of them with its id. Counts are combined before they are shuffled, so a text with very many copies is no hot key.
     """
     keyed = docs.select("doc_id", F.coalesce(is_history, F.lit(False)).alias("old"), _digest("text").alias("digest"))
-    known = keyed.where("digest is not null").groupBy("old", "digest").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    blank = keyed.where("digest is null").groupBy("old", "doc_id").agg(F.count("*").alias("n")).select("old", F.lit(None).cast("binary").alias("digest"), "doc_id", "n")
+    ids = keyed.groupBy("old", "digest", "doc_id").agg(F.count("*").alias("k"))
+    known = ids.where("digest is not null").groupBy("old", "digest").agg(F.min("doc_id").alias("doc_id"), F.sum("k").alias("n"), F.coalesce(F.min_by("k", "doc_id"), F.max("k")).alias("same"))
+    blank = ids.where("digest is null").select("old", "digest", "doc_id", F.col("k").alias("n"), F.col("k").alias("same"))
     groups = materialise(known.unionByName(blank), "digests")
     old, new = groups.where("old and digest is not null"), groups.where("not old and digest is not null")
     found = materialise(locate(old, new, old.count(), shard_digests), "located")
     repeats = found.where("member").select("digest", F.col("n").alias("m"))
-    kept_old = old.join(repeats, "digest", "left").select("doc_id", "digest", (F.col("n") + F.coalesce("m", F.lit(0))).alias("copies"), F.lit("history").alias("origin"))
-    kept_new = found.where("not member").select("doc_id", "digest", F.col("n").alias("copies"), F.lit("new").alias("origin"))
+    kept_old = old.join(repeats, "digest", "left").select("doc_id", "digest", (F.col("n") + F.coalesce("m", F.lit(0))).alias("copies"), "same", F.lit("history").alias("origin"))
+    kept_new = found.where("not member").select("doc_id", "digest", F.col("n").alias("copies"), "same", F.lit("new").alias("origin"))
     # a null text is no copy: each such row stands for itself
     null_text = groups.where("digest is null").select("doc_id", "digest", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k"), F.when(F.col("old"), "history").otherwise("new").alias("origin"))
-    return kept_old.unionByName(kept_new).unionByName(null_text.select("doc_id", "digest", F.lit(1).cast("bigint").alias("copies"), "origin"))
+    one = F.lit(1).cast("bigint")
+    return kept_old.unionByName(kept_new).unionByName(null_text.select("doc_id", "digest", one.alias("copies"), one.alias("same"), "origin"))
 
 
 def earlier_half(docs: DataFrame, id_col: str = "doc_id") -> Column:
@@ -178,16 +180,25 @@ def earlier_half(docs: DataFrame, id_col: str = "doc_id") -> Column:
     return F.lit(False) if r["lo"] is None else F.col(id_col) < F.lit((r["lo"] + r["hi"]) // 2)
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_digests: int = SHARD_DIGESTS) -> DataFrame:
-    """The rows that stay, with all their columns."""
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_digests: int = SHARD_DIGESTS, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows that stay, with all their columns.
+
+    Texts meet only the digests that have copies. These are broadcast if they are at most ``broadcast_rows`` (a row is some
+    80 bytes), else both sides are shuffled.
+    """
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kept = decide(plain, earlier_half(plain), shard_digests).where("digest is not null").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(row.alias("__row"), F.col(id_col).alias("__id"), _digest(text_col).alias("__digest"))
-    stay = rows.join(kept, rows["__digest"].eqNullSafe(kept["__digest"]) & rows["__id"].eqNullSafe(kept["__id"]), "left_semi").where("__digest is not null")
-    stay = stay.groupBy("__id", "__digest").agg(F.first("__row").alias("__row"))
-    null_text = docs.where(F.col(text_col).isNull())
-    return stay.select("__row.*").unionByName(null_text)
+    digest, winner, same = (next(n for n in (f"_{x}{'_' * k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns) for x in ("digest", "winner", "same"))
+    several = materialise(decide(plain, earlier_half(plain), shard_digests).where("copies > 1").select(F.col("digest").alias(digest), F.col("doc_id").alias(winner), F.col("same").alias(same)), "copied")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(*own, _digest(text_col).alias(digest))
+    met = rows.join(F.broadcast(several) if several.count() <= broadcast_rows else several, digest, "left")
+    stay = met.where(F.col(same).isNull() | F.col(f"`{id_col}`").eqNullSafe(F.col(winner)))
+    twice = several.where(F.col(same) > 1)
+    if twice.isEmpty():
+        return stay.select(*own)
+    # rows of one id and text: one of them stays
+    several_rows = stay.where(F.col(same) > 1).groupBy(digest).agg(F.first(F.struct(*own)).alias("row")).select("row.*")
+    return stay.where(F.col(same).isNull() | (F.col(same) == 1)).select(*own).unionByName(several_rows)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
