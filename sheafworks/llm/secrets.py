@@ -42,8 +42,9 @@ CONTEXT = (
     rf"|(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]{{1,15}}://[^\s/:@\"']{{1,64}}:(?P<url>[^\s/:@\"']{{4,}})@"
     rf"|(?<![A-Za-z0-9])(?P<prefixed>{_PREFIXES})"
 )
-#: Cheap first look in the JVM: every match of CONTEXT contains one of these.
-HINT = r"(?i)(?:pass|pwd|secret|token|credential|[_-]?key|_id|-id|accountid|apiid|authid|clientid|privateid|accessid|bearer|://|akia|asia|gh[pousr]_|sk-|xox|aiza)"
+#: Cheap first look in the JVM, at the lower-cased text: every match of CONTEXT contains one of these. Plain substrings, which
+#: the engine finds several times as fast as alternatives of a regular expression.
+HINTS = ("pass", "pwd", "secret", "key", "token", "credential", "_id", "-id", "accountid", "apiid", "accessid", "authid", "privateid", "clientid", "bearer", "://", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "aiza")
 _RE = re.compile(CONTEXT)
 
 COMMON = "password 123456 12345678 qwerty letmein admin welcome changeme secret example default master monkey dragon login guest test user root abc123 iloveyou passw0rd hello sample dummy placeholder null none undefined redacted true false yourpassword token value here your my the key string text foo bar baz xxxx todo".split()
@@ -173,9 +174,14 @@ def redact(text: str, min_log10_guesses: float = MIN_LOG10_GUESSES, mask: str =
 _FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("log10_guesses", T.DoubleType()), T.StructField("parts", T.StringType()), T.StructField("is_secret", T.BooleanType())]))
 
 
+def _hinted(text: Column) -> Column:
+    low = F.lower(text)
+    return functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(h)) for h in HINTS])
+
+
 def _suspect(text: Column) -> Column:
     """The text where it may hold a credential, else null: only these cross to Python."""
-    return F.when(text.rlike(HINT), text)
+    return F.when(_hinted(text), text)
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_log10_guesses: float = MIN_LOG10_GUESSES) -> DataFrame:
@@ -185,7 +191,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_log1
     def found(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: find(t, min_log10_guesses))
 
-    d = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("text").rlike(HINT))
+    d = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(_hinted(F.col("text")))
     d = d.select("doc_id", F.explode(found("text")).alias("f"))
     return d.select("doc_id", F.col("f.kind").alias("kind"), F.col("f.start").alias("start"), F.col("f.end").alias("end"), F.col("f.log10_guesses").alias("log10_guesses"), F.col("f.parts").alias("parts"), F.col("f.is_secret").alias("is_secret"))
 
