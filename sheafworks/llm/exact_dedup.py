@@ -203,12 +203,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decide(docs, earlier_half(docs)).select("doc_id", "copies", "origin")
+    return decide(docs, earlier_half(docs)).select("doc_id", "origin")
 
 
 SQL = """
 WITH half AS (SELECT (min(doc_id) + max(doc_id)) // 2 AS mid FROM documents),
-     groups AS (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY text
-                UNION ALL SELECT doc_id, 1 AS copies FROM documents WHERE text IS NULL)
-SELECT doc_id, copies, CASE WHEN doc_id < mid THEN 'history' ELSE 'new' END AS origin FROM groups, half
+     groups AS (SELECT min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY text
+                UNION ALL SELECT doc_id FROM documents WHERE text IS NULL)
+SELECT doc_id, CASE WHEN doc_id < mid THEN 'history' ELSE 'new' END AS origin FROM groups, half
 """

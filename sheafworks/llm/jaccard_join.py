@@ -348,7 +348,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs(read_table(spark, sf_dir, "documents")).withColumn("jaccard", F.round("jaccard", 6))
+    found = pairs(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc_a").alias("doc_id_a"), F.col("doc_b").alias("doc_id_b"), F.round("jaccard", 6).alias("jaccard"))
 
 
 SQL = f"""
@@ -359,7 +360,7 @@ WITH words AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[ \\t
      shared AS (SELECT g FROM grams GROUP BY g HAVING count(*) > 1),
      kept AS (SELECT doc_id, g FROM grams SEMI JOIN shared USING (g)),
      met AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS overlap FROM kept a JOIN kept b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2)
-SELECT doc_a, doc_b, overlap, round(overlap / (x.n + y.n - overlap), 6) AS jaccard
+SELECT doc_a AS doc_id_a, doc_b AS doc_id_b, round(overlap / (x.n + y.n - overlap), 6) AS jaccard
 FROM met JOIN sizes x ON x.doc_id = doc_a JOIN sizes y ON y.doc_id = doc_b
 WHERE overlap * {1 + THRESHOLD} >= {THRESHOLD} * (x.n + y.n)
 """
