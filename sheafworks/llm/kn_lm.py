@@ -97,16 +97,18 @@ def count_highest(df: DataFrame, text_col: str, order: int = ORDER) -> DataFrame
         texts = (t for b in batches for t in b.column(0).to_pylist() if t is not None)
         for part in _chunks(texts):
             codes, lens = symbols(part, order)
-            ok = np.flatnonzero(_ends(lens, order))
-            h = hashes(codes, order)[ok]
-            u, first, n = np.unique(h, return_index=True, return_counts=True)
-            rows = codes[ok[first][:, None] + np.arange(order)]
-            at = np.searchsorted(keys, u)
-            old = at < len(keys)
-            old[old] = keys[at[old]] == u[old]
-            counts[at[old]] += n[old]
-            new = ~old
-            keys, counts, grams = np.insert(keys, at[new], u[new]), np.insert(counts, at[new], n[new]), np.insert(grams, at[new], rows[new], axis=0)
+            whole = np.flatnonzero(_ends(lens, order))
+            for lo in range(0, len(whole), 2 * CHUNK):  # one window, unless a text is longer
+                ok = whole[lo : lo + 2 * CHUNK]
+                h = hashes(codes[ok[0] : ok[-1] + order], order)[ok - ok[0]]
+                u, first, n = np.unique(h, return_index=True, return_counts=True)
+                rows = codes[ok[first][:, None] + np.arange(order)]
+                at = np.searchsorted(keys, u)
+                old = at < len(keys)
+                old[old] = keys[at[old]] == u[old]
+                counts[at[old]] += n[old]
+                new = ~old
+                keys, counts, grams = np.insert(keys, at[new], u[new]), np.insert(counts, at[new], n[new]), np.insert(grams, at[new], rows[new], axis=0)
         for lo in range(0, len(keys), 100_000):
             strings = np.ascontiguousarray(grams[lo : lo + 100_000]).view(f"<U{order}").reshape(-1)
             yield pa.RecordBatch.from_arrays([pa.array(strings, pa.string()), pa.array(counts[lo : lo + 100_000])], names=["gram", "n"])
@@ -262,8 +264,17 @@ class Model:
         codes, lens = symbols(texts, n)
         at = np.flatnonzero(_ends(lens, n)) + n - 1  # positions of the predicted symbols
         score = np.zeros(len(at), np.float64)
+        for lo in range(0, len(at), 2 * CHUNK):  # one window, unless a text is longer
+            self._score(codes, at[lo : lo + 2 * CHUNK], score[lo : lo + 2 * CHUNK])
+        sizes = lens - n + 1
+        return np.add.reduceat(score, np.concatenate([[0], np.cumsum(sizes)[:-1]])), sizes
+
+
+    def _score(self, codes: np.ndarray, at: np.ndarray, score: np.ndarray) -> None:
+        base = at[0] - self.order + 1
+        codes, at = codes[base : at[-1] + 1], at - base
         live = np.arange(len(at))
-        for k in range(n, 0, -1):
+        for k in range(self.order, 0, -1):
             got = self.p[k].get(hashes(codes, k)[at[live] - k + 1])
             there = ~np.isnan(got)
             score[live[there]] += got[there]
@@ -275,8 +286,6 @@ class Model:
                 score[live] += np.where(np.isnan(back), 0.0, back)
             else:
                 score[live] += self.unknown
-        sizes = lens - n + 1
-        return np.add.reduceat(score, np.concatenate([[0], np.cumsum(sizes)[:-1]])), sizes
 
 
 def score(df: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

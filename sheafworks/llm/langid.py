@@ -27,6 +27,7 @@ from sheafworks.session import read_table
 
 BUCKET_BITS, DIM, ORDERS = 16, 16, (1, 2, 3, 4)
 PER_LABEL = 600
+WINDOW = 1 << 20  # bytes scored at once
 REJECT_RATE = 0.001
 
 
@@ -59,16 +60,20 @@ def _grams(buf: np.ndarray) -> np.ndarray:
 
 
 def _mean(table: np.ndarray, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Means of the table's rows over each text's subwords."""
-    if len(at) < 2:
-        return np.zeros((0, table.shape[1]))
-    grams, total = _grams(buf), 0.0
-    for g, k in zip(grams, ORDERS):
-        rows = table[g]
-        if k > 1:  # not over the end
-            for back in range(1, k):
-                rows[at[1:] - back] = 0
-        total = total + np.add.reduceat(rows, at[:-1], axis=0)
+    """Means of the table's rows over each text's subwords, window by window, so that long texts take no more memory."""
+    total = np.zeros((len(at) - 1, table.shape[1]))
+    for lo in range(0, len(buf), WINDOW):
+        n = min(len(buf), lo + WINDOW) - lo
+        first = int(np.searchsorted(at, lo, "right")) - 1
+        last = int(np.searchsorted(at, lo + n, "left"))
+        cuts = np.maximum(at[first:last] - lo, 0)
+        ends = at[first + 1 : last + 1] - lo
+        for g, k in zip(_grams(buf[lo : lo + n + 3]), ORDERS):
+            rows = table[g[:n]]
+            for back in range(1, k):  # not over a text's end
+                over = ends - back
+                rows[over[(over >= 0) & (over < n)]] = 0
+            total[first:last] += np.add.reduceat(rows, cuts, axis=0)
     count = sum(np.maximum(np.diff(at) - k + 1, 0) for k in ORDERS)
     return total / count[:, None]
 

@@ -236,7 +236,9 @@ class Transducer:
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
-        return b"".join(map(self.paths.__getitem__, self.cuts.findall(self.prefix + text.replace(" ", _SPACE))))
+        escaped = self.prefix + text.replace(" ", _SPACE)
+        parts = self.cuts.findall(escaped) if len(text) < 4_000_000 else (m.group() for m in self.cuts.finditer(escaped))
+        return b"".join(map(self.paths.__getitem__, parts))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
