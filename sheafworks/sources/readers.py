@@ -227,3 +227,17 @@ def fetch(urls: DataFrame, get: Callable[[str], dict], tasks: int = 64) -> DataF
     return urls.select("url", "url_hash").repartition(tasks).mapInPandas(run, "url string, url_hash string, status int, content_type string, content_length string, body binary, error string")
 
 
+
+
+def annotated_entities(members: DataFrame) -> DataFrame:
+    """Entities of the ``entities_*.json`` members of page archives, a row each."""
+    schema = T.StructType([T.StructField("entities", T.MapType(T.StringType(), T.ArrayType(S.ENTITY)))])
+    d = members.where(F.col("member").rlike(r"(^|/)entities_[^/]*\.json$")).select("path", F.from_json(F.decode("content", "UTF-8"), schema).alias("j"))
+    return d.select("path", F.explode(F.flatten(F.map_values("j.entities"))).alias("e")).select("path", "e.*")
+
+
+def annotated_words(members: DataFrame) -> DataFrame:
+    """Words of the ``words_*.json`` members, in order."""
+    schema = T.StructType([T.StructField("words", T.ArrayType(S.WORD))])
+    d = members.where(F.col("member").rlike(r"(^|/)words_[^/]*\.json$")).select("path", "member", F.from_json(F.decode("content", "UTF-8"), schema).alias("j"))
+    return d.select("path", "member", F.posexplode("j.words").alias("word_pos", "w")).select("path", "member", "word_pos", "w.*")
