@@ -68,6 +68,27 @@ def heading_levels(fonts: DataFrame, doc: str = "doc_id") -> DataFrame:
     return f.withColumn("level", F.when(is_title, -20).when((F.col("_pos") >= F.col("_body_pos")) | (level > 9), -10).otherwise(level).cast("int")).select(doc, "font", "level")
 
 
+def heading_levels_with_builtin(fonts: DataFrame, builtin: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Documents that style headings (``builtin``: doc, font, level) give those fonts their levels, the greatest where they
+    disagree, and all others are body; the rest go by size."""
+    known = builtin.groupBy(doc, "font").agg(F.max("level").alias("_level"))
+    styled = known.select(doc).distinct()
+    own = fonts.join(styled, doc, "left_semi").select(doc, "font").distinct().join(known, [doc, "font"], "left")
+    own = own.select(doc, "font", F.coalesce("_level", F.lit(-10)).cast("int").alias("level"))
+    return own.unionByName(heading_levels(fonts.join(styled, doc, "left_anti"), doc))
+
+
+def split_affixes(text: Column, kind: Column) -> Column:
+    """A quote or list paragraph as (text, label) parts that join to it again: its quotation marks or its bullet or number are
+    ``mark``, the rest is the entity."""
+    quote = F.array(F.struct(F.regexp_extract(text, r"(?s)^(\s*[\"'])", 1).alias("text"), F.lit("mark").alias("label")), F.struct(F.regexp_extract(text, r"(?s)^\s*[\"'](.*)[\"']\s*$", 1).alias("text"), F.lit("quote").alias("label")), F.struct(F.regexp_extract(text, r"(?s)^\s*[\"'].*?([\"']\s*)$", 1).alias("text"), F.lit("mark").alias("label")))
+    head = rf"(?s)^(\s*(?:(?U:\d+|\w)[.:)]|[{BULLETS}])\s*)"
+    listed = F.array(F.struct(F.regexp_extract(text, head, 1).alias("text"), F.lit("mark").alias("label")), F.struct(F.regexp_replace(text, head, "").alias("text"), F.lit("list").alias("label")))
+    plain = F.array(F.struct(text.alias("text"), F.lit("text").alias("label")))
+    parts = F.when(kind == S.ENTITY_IDS["quote"], quote).when(kind == S.ENTITY_IDS["list"], listed).otherwise(plain)
+    return F.filter(parts, lambda p: p["text"] != "")
+
+
 def resolve_fonts(styles: DataFrame) -> DataFrame:
     """(style, font) with what a style lacks taken from the nearest ancestor that has it: a recursive query over
     (style, base, font)."""

@@ -63,12 +63,6 @@ def local_path(uri: str) -> str | None:
     return None
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Makes ``DataFrame.checkpoint`` usable, in the shared folder."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_uri(spark))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 

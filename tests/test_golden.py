@@ -236,6 +236,21 @@ def test_headings(spark):
     assert got == {(1, 1): 1, (1, 2): 10, (1, 3): 10, (2, 1): 10, (2, 2): 10}
 
 
+def test_builtin_headings_and_marks(spark):
+    kinds = "doc_id string, font string, n_chars long, n_paragraphs long"
+    fonts = spark.createDataFrame([("d", "30.0b", 10, 3), ("d", "12.0n", 900, 40), ("d", "14.0n", 9, 2), ("e", "20.0n", 10, 2), ("e", "12.0n", 90, 9)], kinds)
+    builtin = spark.createDataFrame([("d", "14.0n", 1), ("d", "14.0n", 2)], "doc_id string, font string, level int")
+    got = {(r.doc_id, r.font): r.level for r in structure.heading_levels_with_builtin(fonts, builtin).collect()}
+    assert got == {("d", "30.0b"): -10, ("d", "12.0n"): -10, ("d", "14.0n"): 2, ("e", "20.0n"): 1, ("e", "12.0n"): -10}
+    texts = ['"quoted text"', "'a'", "1. item", "- item\nmore", "x) y", "plain", '""', "• b"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    kind = structure.content_entity(F.col("v"))
+    for r in df.select("v", structure.split_affixes(F.col("v"), kind).alias("p")).collect():
+        assert "".join(p.text for p in r.p) == r.v, r
+    rows = {r.v: [(p.text, p.label) for p in r.p] for r in df.select("v", structure.split_affixes(F.col("v"), kind).alias("p")).collect()}
+    assert rows["1. item"] == [("1. ", "mark"), ("item", "list")] and rows["'a'"] == [("'", "mark"), ("a", "quote"), ("'", "mark")]
+
+
 def _docx(paragraphs):
     w = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
     body = "".join(f"<w:p><w:r><w:rPr><w:lang w:val='en-US'/></w:rPr><w:t>{p}</w:t></w:r></w:p>" for p in paragraphs)
