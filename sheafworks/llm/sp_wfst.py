@@ -32,6 +32,7 @@ from sheafworks.session import read_table
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MEMORY = 1_000_000  # parts whose paths a worker remembers
 _SPACE = "▁"
+_TWO = (2,)
 _HEAD = 5  # characters of a part's beginning whose lattice states are shared
 _INF = float("inf")
 
@@ -76,11 +77,8 @@ class Transducer:
         by_rank = sorted(self.lexicon.values(), key=lambda i: (self.weight[i], i))
         self.rank = {i: k + 1 for k, i in enumerate(by_rank)}
         self.longest = max(map(len, self.lexicon), default=1)
-        self.spans = {}  # last two characters → lengths of the pieces that end in them, longest first
-        for p in self.lexicon:
-            if len(p) > 1:
-                self.spans.setdefault(p[-2:], set()).add(len(p))
-        self.spans = {c: sorted(n, reverse=True) for c, n in self.spans.items()}
+        self.spans: dict[str, tuple[int, ...]] = {}
+        self._index()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.grammar: dict[int, bool] = {}
         self.heads: dict[str, tuple[list[int], list[int]]] = {}
@@ -93,6 +91,14 @@ class Transducer:
         self.paths = _Paths(self._solve, memory)
         self.raw = [bytes([int(p.piece[3:-1], 16)]) if p.type == 6 else b"" if p.type == 3 else p.piece.encode() if p.type != 2 else " ⁇ ".encode() for p in proto.pieces]
 
+    def _index(self) -> None:
+        """Last three characters → lengths of the pieces that end in them, longest first; where there are none, two is tried."""
+        found: dict[str, set[int]] = {}
+        for p in self.lexicon:
+            if len(p) > 2:
+                found.setdefault(p[-3:], {2}).add(len(p))
+        self.spans = {c: tuple(sorted(n, reverse=True)) for c, n in found.items()}
+
     # -- grammar -----------------------------------------------------------------------------------
     def _split(self, piece: int) -> tuple[int, int] | None:
         """The two pieces whose merge makes this one; None for a single character."""
@@ -192,7 +198,7 @@ class Transducer:
         last, size = last.copy(), size.copy()
         lexicon, spans, follows, grammar = self.lexicon.get, self.spans.get, self.follows, self.grammar.get
         for j in range(len(last), len(part) + 1):
-            for length in spans(part[j - 2 : j], ()) if j > 1 else ():
+            for length in (spans(part[j - 3 : j], _TWO) if j > 2 else _TWO if j == 2 else ()):
                 i = j - length
                 if i < 0:
                     continue
@@ -219,7 +225,7 @@ class Transducer:
         n, unk_weight = len(part), max(self.weight) + 10.0
         best, back = [0.0] + [_INF] * n, [(0, -1)] * (n + 1)
         for j in range(1, n + 1):
-            for length in (*self.spans.get(part[max(0, j - 2) : j], ()), 1):
+            for length in (*(self.spans.get(part[j - 3 : j], _TWO) if j > 2 else _TWO), 1):
                 i = j - length
                 if i >= 0 and (p := self.lexicon.get(part[i:j])) is not None and best[i] + self.weight[p] < best[j]:
                     best[j], back[j] = best[i] + self.weight[p], (i, p)

@@ -197,11 +197,7 @@ def test_unigram_shortest_path():
     t.lexicon = {p: i for i, p in enumerate(pieces)}
     t.weight = [rng.uniform(1, 5) for _ in pieces]
     t.pieces, t.byte_ids = pieces, {}
-    t.spans = {}
-    for p in pieces:
-        if len(p) > 1:
-            t.spans.setdefault(p[-2:], set()).add(len(p))
-    t.spans = {k: sorted(v, reverse=True) for k, v in t.spans.items()}
+    t._index()
     for _ in range(200):
         s = "".join(rng.choice("abc▁") for _ in range(rng.randint(1, 9)))
 
