@@ -20,11 +20,10 @@ _WIDE = (("—", " - "), ("．", ". "), ("…", "..."))
 
 
 @functools.lru_cache(maxsize=1)
-def _numeric_class() -> str:
-    """Numeric characters: category N, and the others that have a numeric value (CJK numerals)."""
-    extra = [c for c in range(0x3400, 0x30000) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "N"]
-    extra += [c for c in range(0xF900, 0xFAFF) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "N" and c not in extra]
-    return r"[\p{N}" + "".join(rf"\x{{{c:X}}}" for c in sorted(set(extra))) + "]"
+def _numeral_letters() -> str:
+    """Letters that have a numeric value (CJK numerals), as a character class."""
+    letters = [c for c in range(0x3400, 0x30000) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "N"]
+    return "[" + "".join(rf"\x{{{c:X}}}" for c in letters) + "]"
 
 
 def words(text: Column) -> Column:
@@ -34,11 +33,16 @@ def words(text: Column) -> Column:
 
 
 def metrics(text: Column) -> dict[str, Column]:
-    letters, numbers = F.regexp_count(text, F.lit(r"\p{L}")), F.regexp_count(text, F.lit(_numeric_class()))
-    both = F.regexp_count(text, F.lit(r"[\p{L}\p{N}]"))
+    # runs are taken out, so the pattern matches once a word and not once a character
+    rest = F.regexp_replace(text, r"\p{L}+", "")
     chars = F.length(text)
+    letters = chars - F.length(rest)
+    digits = F.length(rest) - F.length(F.regexp_replace(rest, r"\p{N}+", ""))
+    numbers = digits + F.regexp_count(text, F.lit(_numeral_letters()))
+    both = letters + digits
+    n_words = F.regexp_count(F.regexp_replace(text, PUNCT, ""), F.lit(r"(?U)\S+"))
     return {
-        "word_count": F.size(words(text)).cast("bigint"),
+        "word_count": n_words.cast("bigint"),
         "char_count": chars.cast("bigint"),
         "alph_chars_count": letters.cast("bigint"),
         "numeric_chars_count": numbers.cast("bigint"),

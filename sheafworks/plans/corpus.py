@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sheafworks.functions import text as X
 from sheafworks.operators import quality, urls, whitelist
 from sheafworks.plans.base import query
-from sheafworks.session import read_table
+from sheafworks.session import read_spread, read_table
 
 # metadata that the documents table hasn't, by integer arithmetic; the same text runs in both engines
 DOC_META = """SELECT doc_id, sha256_hex AS url_hash, lang,
@@ -109,7 +109,7 @@ def page_number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
       round(CASE WHEN numeric_chars_count = 0 THEN 0 ELSE alph_chars_count / numeric_chars_count END, 6) AS alph_to_num_ratio FROM m""",
 )
 def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in X.metrics(F.col("text")).items()])
+    d = read_spread(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in X.metrics(F.col("text")).items()])
     return d.withColumn("alnum_prop", F.round("alnum_prop", 6)).withColumn("alph_to_num_ratio", F.round("alph_to_num_ratio", 6))
 
 

@@ -73,3 +73,11 @@ def materialise(df, name: str):
     uri = work_uri(spark, name)
     df.write.parquet(uri)
     return spark.read.schema(df.schema).parquet(uri)
+
+
+def read_spread(spark: SparkSession, sf_dir: str, name: str):
+    """A table for work that takes much longer than reading: one that is read in fewer tasks than there are cores is dealt out
+    to all of them. Tables of many files aren't moved."""
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
