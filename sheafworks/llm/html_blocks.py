@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafworks.session import read_table
+from sheafworks.session import read_spread
 
 LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.18  # for the short lists below, which cover about 40 % of running prose
@@ -162,4 +162,4 @@ def extract_text(df: DataFrame, id_col: str = "page_id", html_col: str = "html")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_text(read_table(spark, sf_dir, "pages"))
+    return extract_text(read_spread(spark, sf_dir, "pages"))

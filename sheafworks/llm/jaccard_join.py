@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from sheafworks.llm import grams
 from sheafworks.llm.components import components
-from sheafworks.session import materialise, read_table
+from sheafworks.session import materialise, read_spread
 
 N, THRESHOLD = 3, 0.5
 BLOCK_CHARS = 6_000_000  # text of which a worker packs the n-grams at once
@@ -348,7 +348,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pairs(read_table(spark, sf_dir, "documents"))
+    found = pairs(read_spread(spark, sf_dir, "documents"))
     return found.select(F.col("doc_a").alias("doc_id_a"), F.col("doc_b").alias("doc_id_b"), F.round("jaccard", 6).alias("jaccard"))
 
 

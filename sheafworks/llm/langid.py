@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheafworks.session import read_table
+from sheafworks.session import read_spread
 
 BUCKET_BITS, DIM, ORDERS = 16, 16, (1, 2, 3, 4)
 PER_LABEL = 600
@@ -213,5 +213,5 @@ def keep_identified(df: DataFrame, model: Model, text_col: str = "text") -> Data
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_spread(spark, sf_dir, "documents")
     return identify(docs, fit(docs))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafworks.session import read_table
+from sheafworks.session import read_spread
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MEMORY = 1_000_000  # parts whose paths a worker remembers
@@ -304,4 +304,4 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model_pa
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents"))
+    return encode(read_spread(spark, sf_dir, "documents"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafworks.session import read_table
+from sheafworks.session import read_spread
 
 FIELDS = {1: ("ip", "date", "mime", "length"), 2: ("ip", "date", "mime", "status", "checksum", "location", "offset", "filename", "length")}
 _NAMESPACE = uuid.UUID("6f1d2c0e-5c3a-5d6b-9a43-0b7a5c9d1e77")
@@ -186,4 +186,4 @@ def pages_as_arc(pages: DataFrame, target_bytes: int = 4 << 20) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return convert(pages_as_arc(read_table(spark, sf_dir, "pages")))
+    return convert(pages_as_arc(read_spread(spark, sf_dir, "pages")))
