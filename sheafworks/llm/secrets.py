@@ -175,8 +175,8 @@ _FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Stru
 
 
 def _hinted(text: Column) -> Column:
-    low = F.lower(text)
-    return functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(h)) for h in HINTS])
+    # inside the lambda the lower-cased text is a variable; written out, it would be made again for every hint
+    return F.exists(F.array(F.lower(text)), lambda low: functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(h)) for h in HINTS]))
 
 
 def _suspect(text: Column) -> Column:
