@@ -120,7 +120,10 @@ def normalise_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return download.normalise_sources(s).select(F.col("event_id").cast("bigint").alias("event_id"), "status_code", F.array_join("content_language", "|").alias("langs"))
 
 
-@query("shard_rotation")
+@query("shard_rotation", """WITH RECURSIVE o AS (SELECT source, doc_id, strlen(text)::BIGINT AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
+  r AS (SELECT source, doc_id, rn, size, 0 AS shard, CASE WHEN size > 100000 THEN 0 ELSE size END AS total, size > 100000 AS closed FROM o WHERE rn = 1
+   UNION ALL SELECT o.source, o.doc_id, o.rn, o.size, r.shard + r.closed::INT, CASE WHEN r.total + o.size > 100000 THEN 0 ELSE r.total + o.size END, r.total + o.size > 100000 FROM r JOIN o ON o.source = r.source AND o.rn = r.rn + 1)
+  SELECT source, doc_id, size, shard FROM r""")
 def shard_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("source", "doc_id", F.octet_length("text").alias("size"))
     return download.rotate_shards(d, "source", "doc_id", "size", 100_000)

@@ -28,23 +28,35 @@ def content_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("conv_id", "turn", structure.content_entity(F.col("line")).alias("entity_id"))
 
 
+_FONT = "concat(['24.0', '16.0', '12.0', '12.0'][turn % 4 + 1], CASE WHEN turn % 2 = 0 THEN 'b' ELSE 'n' END)"
+_HIST = f"SELECT conv_id AS doc_id, {_FONT} AS font, sum(length(text))::BIGINT AS n_chars, count(DISTINCT turn // 2) AS n_paragraphs FROM conversations GROUP BY 1, 2"
+_LEVELS = f"""f AS ({_HIST}), g AS (SELECT *, CAST(regexp_extract(font, '^([0-9.]+)', 1) AS DOUBLE) AS size, CASE regexp_extract(font, '([a-z]*)$', 1) WHEN 'b' THEN 0 WHEN 'bi' THEN 1 WHEN 'i' THEN 2 ELSE 3 END AS style FROM f),
+  r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, style, font) AS pos, first_value(font) OVER (PARTITION BY doc_id ORDER BY n_chars DESC, size DESC, font DESC) AS common FROM g),
+  t AS (SELECT *, max(CASE WHEN font = common THEN pos END) OVER (PARTITION BY doc_id) AS body_pos, max(CASE WHEN pos = 1 AND n_paragraphs = 1 AND font <> common THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id) AS titled FROM r),
+  levels AS (SELECT doc_id, font, CAST(CASE WHEN pos = 1 AND titled = 1 THEN -20 WHEN pos >= body_pos OR pos - titled > 9 THEN -10 ELSE pos - titled END AS INT) AS level FROM t)"""
+
+
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("turn")
     font = F.concat(F.element_at(F.array(*map(F.lit, ("24.0", "16.0", "12.0", "12.0"))), (k % 4 + 1).cast("int")), F.when(k % 2 == 0, "b").otherwise("n"))
     return read_table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.floor(k / 2).alias("paragraph"), F.col("turn").alias("run"), font.alias("font"), "text")
 
 
-@query("font_histogram", "SELECT conv_id AS doc_id, concat(['24.0', '16.0', '12.0', '12.0'][turn % 4 + 1], CASE WHEN turn % 2 = 0 THEN 'b' ELSE 'n' END) AS font, sum(length(text))::BIGINT AS n_chars, count(DISTINCT turn // 2) AS n_paragraphs FROM conversations GROUP BY 1, 2")
+@query("font_histogram", _HIST)
 def font_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.font_histogram(_runs(spark, sf_dir))
 
 
-@query("heading_levels")
+@query("heading_levels", f"WITH {_LEVELS} SELECT * FROM levels")
 def heading_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.heading_levels(structure.font_histogram(_runs(spark, sf_dir)))
 
 
-@query("run_voting")
+@query("run_voting", f"""WITH {_LEVELS}, runs AS (SELECT conv_id AS doc_id, turn // 2 AS paragraph, turn AS run, {_FONT} AS font, text FROM conversations),
+  h AS (SELECT r.*, l.level, coalesce(l.level > 0 OR l.level = -20, false) AS head FROM runs r LEFT JOIN levels l ON r.doc_id = l.doc_id AND r.font = l.font),
+  p AS (SELECT *, min(head::INT) OVER (PARTITION BY doc_id, paragraph ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AND sum(CASE WHEN head THEN length(text) ELSE 0 END) OVER (PARTITION BY doc_id, paragraph) <= 150 AS heads FROM h),
+  e AS (SELECT *, CASE WHEN heads AND level = -20 THEN 0 WHEN heads THEN level ELSE 10 END AS e FROM p)
+  SELECT doc_id, paragraph, run, text, CAST(CASE WHEN trim(text) = '' THEN first_value(e) OVER (PARTITION BY doc_id, paragraph ORDER BY length(trim(text)) DESC, run) ELSE e END AS INT) AS entity_id FROM e""")
 def run_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _runs(spark, sf_dir)
     return structure.vote(runs, structure.heading_levels(structure.font_histogram(runs)))
