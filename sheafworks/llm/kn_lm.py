@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafworks.session import local_path, materialise, read_table, work_uri
+from sheafworks.session import local_path, materialise, work_uri
 
 ORDER = 5
 BOS, EOS = "\x02", "\x03"
@@ -317,8 +317,3 @@ def score(df: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: str
 
 def discard(trained: Trained) -> None:
     shutil.rmtree(trained.path, ignore_errors=True)
-
-
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return score(docs, train(spark, docs))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sheafworks.llm import exact_dedup, hnsw, html_blocks, jaccard_join, kn_lm, langid, packing, secrets, sp_wfst, warc
+from sheafworks.llm import exact_dedup, hnsw, html_blocks, jaccard_join, langid, packing, secrets, sp_wfst, warc, word_lm
 
 QUERIES = {
     "op1_ann_search": hnsw.query,
@@ -10,7 +10,7 @@ QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op4_html_extraction": html_blocks.query,
     "op5_secret_scan": secrets.query,
-    "op6_lm_scoring": kn_lm.query,
+    "op6_lm_scoring": word_lm.query,
     "op7_arc_to_warc": warc.query,
     "op8_sentencepiece": sp_wfst.query,
     "op9_language_id": langid.query,
