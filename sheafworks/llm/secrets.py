@@ -1,11 +1,15 @@
 """Secret scans: guess-cost dynamic programming over values in credential context.
 
-A value counts as in credential context when it follows a credential word (``password = …``,
-``token: "…"``, ``Bearer …``), sits in the user part of a URL, or carries an issuer's prefix
+A value counts as in credential context when it follows a credential word of English, German, French or
+Spanish (``password = …``, ``token: "…"``, ``mot de passe : …``, ``Bearer …``), sits in the user part of a URL, or carries an issuer's prefix
 (``AKIA…``, ``ghp_…``). Each such value is segmented at least total cost into dictionary words,
 dates, repeats, keyboard walks or sequences, and brute-force spans; the cost is log10 of the guesses.
 Values that cost at least ``min_log10_guesses`` are secrets, cheaper ones are placeholders or prose.
 
+After an opening quote a value goes up to the matching quote on the line, else up to white space, without
+trailing stops, commas, colons, brackets and quotes. After ``is``, ``ist``, ``est`` and ``es`` in place of a sign, values without quotes
+count only if they hold a digit, a sign or a capital after a small letter: ``the password is lost`` is prose.
+
 Defined results: null and empty texts give no finding and stay as they are; a null id is kept as null;
 repeated rows give their findings once each; findings in a text don't overlap (leftmost, longest); texts of
 any length are scanned whole, and the segmentation takes time in proportion to the value's length.
@@ -34,17 +38,31 @@ MIN_LOG10_GUESSES = 6.0
 SEGMENT_LOG10 = 0.6  # what another segment adds: the guesser must also find the order of segment kinds
 
 _WORDS = r"pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|(?:api|access|auth|secret|private|client|account)[_-]?(?:key|token|secret|id)|token|credentials?"
+#: German, French and Spanish; letters with marks also as letter and combining mark.
+_FOREIGN = "|".join((
+    r"zugangs(?:code|schl(?:ü|u\u0308|ue)ssel|token)|(?:api|geheim|privat|zugriffs)[ _-]?schl(?:ü|u\u0308|ue)ssel|geheimnis|zugangsdaten",
+    r"mots?[ _-]de[ _-]passe|motdepasse|mdp|jeton|cl(?:é|e\u0301)s?[ _-](?:secr(?:è|e\u0300|e)te|priv(?:é|e\u0301|e)e|(?:d['’])?(?:api|acc(?:è|e\u0300|e)s))|cle[_-](?:secrete|privee|api|acces)|identifiants",
+    r"contrase(?:ñ|n\u0303|n)as?|clave[ _-](?:secreta|privada|api|de[ _-](?:api|acceso))|secreto|credencial(?:es)?",
+))
 _PREFIXES = r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35}"
-#: Python's and Java's regex engines read these alike.
+_GAP = r"[ \t\u00a0\u202f]"
+#: Values in quotes, for each kind of quote; a backslash keeps the next character from closing them.
+_PAIRS = {"double": ('"', '"'), "single": ("'", "'"), "tick": ("`", "`"), "angle": ("«", "»"), "high": ("“", "”"), "low": ("„", "“”")}
+_QUOTED = "|".join(rf"{a}(?P<kv_{k}>(?:[^{b}\\\r\n]|\\[^\r\n]){{4,}})[{b}]" for k, (a, b) in _PAIRS.items())
+#: Before a value without quotes: nothing, or a quote that the line doesn't close.
+_OPEN = "".join(rf"(?!{a}[^{b}\r\n]*[{b}])" for a, b in _PAIRS.values()) + r"[\"'`«“„]?(?![\"'`«“„])"
+_BARE = r"\S{3,}[^\s.,;:)\]}>\"'`»”“]"
+_ODD = r"\S*(?:[0-9]|[a-z][A-Z]|[^\w\s.,;:!?()\[\]{}<>\"'’`»”“…–—-])"
 CONTEXT = (
-    rf"(?<![A-Za-z0-9])(?i:{_WORDS})[\"']?[ \t]{{0,8}}(?::=|=>|=|:)[ \t]{{0,8}}[\"']?(?P<kv>[^\s\"'<>,;]{{4,}})"
+    rf"(?:(?<![A-Za-z0-9])(?i:{_WORDS}|{_FOREIGN})|(?i:passw(?:ort|örter|o\u0308rter)|kennwort))[\"']?(?:{_GAP}{{0,8}}(?:(?i:{_GAP}(?:is|ist|est|es)){_GAP}{{0,8}})?(?::=|=>|=|:){_GAP}{{0,8}}(?:{_QUOTED}|{_OPEN}(?P<kv>{_BARE}))"
+    rf"|{_GAP}{{1,8}}(?i:is|ist|est|es){_GAP}{{1,8}}(?:{_QUOTED.replace('<kv_', '<kv_is_')}|{_OPEN}(?={_ODD})(?P<kv_is>{_BARE})))"
     rf"|(?<![A-Za-z0-9])(?i:bearer)[ \t]{{1,8}}(?P<bearer>[A-Za-z0-9._~+/=-]{{8,}})"
     rf"|(?<![A-Za-z0-9])[A-Za-z][A-Za-z0-9+.-]{{1,15}}://[^\s/:@\"']{{1,64}}:(?P<url>[^\s/:@\"']{{4,}})@"
     rf"|(?<![A-Za-z0-9])(?P<prefixed>{_PREFIXES})"
 )
 #: Cheap first look in the JVM, at the lower-cased text: every match of CONTEXT contains one of these. Plain substrings, which
 #: the engine finds several times as fast as alternatives of a regular expression.
-HINTS = ("pass", "pwd", "secret", "key", "token", "credential", "_id", "-id", "accountid", "apiid", "accessid", "authid", "privateid", "clientid", "bearer", "://", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "aiza")
+HINTS = ("pass", "pwd", "secret", "key", "token", "credential", "_id", "-id", "accountid", "apiid", "accessid", "authid", "privateid", "clientid", "kennwort", "schlüssel", "schlu\u0308ssel", "schluessel", "geheim", "zugang", "mdp", "jeton", "clé", "cle\u0301", "cle_", "cle-", "identifiants", "contrase", "clave", "credencial", "bearer", "://", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "aiza")
 _RE = re.compile(CONTEXT)
 
 COMMON = "password 123456 12345678 qwerty letmein admin welcome changeme secret example default master monkey dragon login guest test user root abc123 iloveyou passw0rd hello sample dummy placeholder null none undefined redacted true false yourpassword token value here your my the key string text foo bar baz xxxx todo".split()
@@ -160,7 +178,7 @@ def find(text: str | None, min_log10_guesses: float = MIN_LOG10_GUESSES, words:
     for m in _RE.finditer(text or ""):
         value, start = m.group(m.lastgroup), m.start(m.lastgroup)
         cost, parts = guess_cost(value, words)
-        out.append({"kind": m.lastgroup, "start": start, "end": start + len(value), "log10_guesses": round(cost, 4), "parts": "+".join(p[2] for p in parts), "is_secret": cost >= min_log10_guesses})
+        out.append({"kind": m.lastgroup.split("_")[0], "start": start, "end": start + len(value), "log10_guesses": round(cost, 4), "parts": "+".join(p[2] for p in parts), "is_secret": cost >= min_log10_guesses})
     return out
 
 
