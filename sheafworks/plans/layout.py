@@ -50,6 +50,13 @@ def box_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("page_id", "word_id", "entity_id", F.round(G.distance(F.col("wb"), F.col("bbox")), 6).alias("distance"))
 
 
+@query("box_distance_pairs", f"WITH e AS ({ENTITIES}), w AS ({WORDS}) SELECT page_id, word_id, entity_id, round(sqrt(pow(greatest(w.x - e.x - e.w, e.x - w.x - w.w, 0), 2) + pow(greatest(w.y - e.y - e.h, e.y - w.y - w.h, 0), 2)), 6) AS distance FROM w JOIN e USING (page_id)")
+def box_distance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a page; ``box_distance`` has only those of one row."""
+    j = words(spark, sf_dir).withColumnRenamed("bbox", "wb").join(entities(spark, sf_dir), "page_id")
+    return j.select("page_id", "word_id", "entity_id", F.round(G.distance(F.col("wb"), F.col("bbox")), 6).alias("distance"))
+
+
 @query("word_entity_match", f"WITH {_M} SELECT page_id, word_id, entity_id, category, round(ratio, 6) AS ratio FROM m")
 def word_entity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.match(words(spark, sf_dir), entities(spark, sf_dir)).withColumn("ratio", F.round("ratio", 6))
