@@ -61,26 +61,83 @@ def test_ngram_sets(texts):
         assert len(np.intersect1d(parts[i], parts[j])) == len(want[i] & want[j]), (i, j, known)
 
 
-@pytest.mark.parametrize("seed,column_chars,row_block", [(1, 12_000_000, 600_000), (2, 3_000, 200), (3, 800, 60)])
-def test_jaccard_join_brute_force(spark, seed, column_chars, row_block):
-    """Groups of near copies, passages that many share, hot copies; small blocks so that groups are cut up."""
-    rng = random.Random(seed)
+def brute_links(ids, texts):
+    """(overlap, jaccard) of every pair of documents of at least the threshold."""
+    s, want = brute_sets(texts, 3), {}
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        o = len(s[i] & s[j])
+        if s[i] and 2 * o >= len(s[i] | s[j]):
+            want[ids[i], ids[j]] = (o, round(o / len(s[i] | s[j]), 9))
+    return want
+
+
+def brute_classes(ids, links):
+    parent = {i: i for i in ids}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    n = collections.Counter()
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+        n[a] += 1
+        n[b] += 1
+    return {i: (find(i), n[i]) for i in ids}
+
+
+def near_copies(rng, groups, copies):
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 4)))
     passage = [word() for _ in range(12)]
-    tx = []
-    for _ in range(12):
+    for _ in range(groups):
         base = [word() for _ in range(rng.randint(5, 60))]
-        for _ in range(rng.choice([1, 2, 9, 25])):
+        for _ in range(rng.choice(copies)):
             w = [word() if rng.random() < 0.04 else x for x in base]
-            tx.append(" ".join(w[: rng.randint(len(w) // 2, len(w))] + (passage if rng.random() < 0.5 else [])))
-    df = spark.createDataFrame([(i * 3, t) for i, t in enumerate(tx)], "doc_id long, text string")
-    got = {(r.doc_a, r.doc_b): (r.overlap, round(r.jaccard, 9)) for r in jaccard_join.pairs(df, column_chars=column_chars, row_block=row_block).collect()}
-    s, want = brute_sets(tx, 3), {}
-    for i, j in itertools.combinations(range(len(tx)), 2):
-        o = len(s[i] & s[j])
-        if s[i] and 2 * o >= len(s[i] | s[j]):
-            want[3 * i, 3 * j] = (o, round(o / len(s[i] | s[j]), 9))
-    assert len(want) > 100 and got == want
+            yield " ".join(w[: rng.randint(len(w) // 2, len(w))] + (passage if rng.random() < 0.5 else []))
+
+
+@pytest.mark.parametrize(
+    "seed,sizes",
+    [(1, {}), (2, {"column_chars": 3_000, "row_block": 200}), (3, {"column_chars": 800, "row_block": 60, "rare": 2, "hot": 4}), (4, {"column_chars": 200, "radix": 2, "rare": 1, "hot": 8, "row_block": 100}), (5, {"column_chars": 100, "radix": 3, "rare": 4, "hot": 16})],
+)
+def test_jaccard_join_brute_force(spark, seed, sizes):
+    """Groups of near copies, passages that many share, hot copies; small blocks so that groups are cut up, few bits a pass."""
+    rng = random.Random(seed)
+    tx = [*near_copies(rng, 12, [1, 2, 9, 25]), "", " ", "a", "a"]
+    tx += [tx[0]] * 7
+    ids = [i * 3 + (1 << 60) for i in range(len(tx))]
+    df = spark.createDataFrame(list(zip(ids, tx)), "doc_id long, text string")
+    want = brute_links(ids, tx)
+    got = {(r.doc_a, r.doc_b): (r.overlap, round(r.jaccard, 9)) for r in jaccard_join.pairs(df, **sizes).collect()}
+    first = {t: i for i, t in reversed(list(zip(ids, tx)))}
+    assert len(want) > 100 and got == {k: v for k, v in want.items() if all(first[tx[(i - ids[0]) // 3]] == i for i in k)}
+    assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.classes(df, **sizes).collect()} == brute_classes(ids, want)
+
+
+@pytest.mark.parametrize("shared", [2, 24])
+def test_jaccard_join_chain(spark, shared):
+    """One chain through all documents: each shares part of its n-grams, fewer than the threshold, with the next ones, so that a
+    group of linked ones isn't a group of similar ones; every tenth has a real partner."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(40 * 300)]
+    tx = [" ".join(words[20 * i : 20 * i + 40]) for i in range(300)] if shared == 2 else [" ".join([*words[:40], *rng.sample(words, 70)]) for i in range(300)]
+    tx += [t + " and more" for t in tx[::10]]
+    ids = list(range(len(tx)))
+    df = spark.createDataFrame(list(zip(ids, tx)), "doc_id long, text string")
+    want = brute_classes(ids, brute_links(ids, tx))
+    assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.classes(df, column_chars=5_000, row_block=2_000).collect()} == want
+    assert sum(n for _, n in want.values()) == 60
+
+
+def test_jaccard_join_moves_no_more_with_more_blocks(texts):
+    from fractions import Fraction
+
+    rows, size = {}, {}
+    for bits in (4, 8, 12, 16):
+        s = jaccard_join.Shape(bits, Fraction(1, 2), jaccard_join.RADIX, jaccard_join.RARE, jaccard_join.HOT)
+        found = [d for _, d in jaccard_join.pack_texts(s, 3, list(range(10 * len(texts))), [f"{k} {t}" for k in range(10) for t in texts])]
+        if bits <= s.coarse:
+            back = list(jaccard_join._return(s)(pd.DataFrame({"block": 0, "data": found}))["data"])
+            assert len(back) <= 1 << s.coarse
+        rows[bits], size[bits] = len(found), sum(map(len, found))
+    assert rows[16] == rows[12] <= 4096 and size[16] < 1.5 * size[4] + 64 * rows[16]
 
 
 def test_components(spark):
