@@ -134,7 +134,7 @@ def test_language_model(spark, docs, none):
 def test_neighbours(spark):
     x = np.random.default_rng(1).normal(size=(60, 8))
     vec = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(100, None), (101, []), (102, [0.0] * 8), (103, [1.0, float("nan")] * 4), (104, [1.0] * 5), (None, [1.0] * 8), (7, [float(v) for v in x[7]]), (200, [float(v) for v in x[3]])]
-    d = spark.createDataFrame(vec, "vec_id long, embedding array<double>").withColumn("shard", F.lit("x")).withColumn("v", F.lit(1))
+    d = spark.createDataFrame(vec, "vec_id long, embedding array<double>").select("*", *[F.lit("x").alias(c) for c in ("shard", "v", "cell", "found", "piece", "ids", "best")])
     rows = {r.vec_id: r for r in hnsw.neighbours(d, k=5, shard_vectors=25).collect()}
     assert all(rows[i].neighbours is None for i in (100, 101, 102, 103, 104, None)) and len(rows) == 60 + 7
     assert rows[3].neighbours[0] == 200 and rows[200].neighbours[0] == 3 and all(len(rows[i].neighbours) == 5 and i not in rows[i].neighbours for i in range(60))
