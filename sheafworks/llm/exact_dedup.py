@@ -7,12 +7,14 @@ byte for byte, so a hit is certain and the document is a repeat of that winner;
 are grouped separately by digest, the lowest id of each group staying. Where a text repeats, the history's winner stays
 before any new document.
 
-Shards hold about ``SHARD_DIGESTS`` digests whatever the input's size; documents meet their shard by a shuffle of
-(digest, id) only.
+The index is a table in the shared folder, a row a shard: later loads can be looked up in it again (``build_index``, ``locate``).
+Shards hold about ``SHARD_DIGESTS`` digests, of the history or of the new documents, whichever has more; documents meet their
+shard by a shuffle of (digest, id) only. Ids stay in Arrow columns of their own type all the way.
 
 Defined results: null texts are no copies of anything and stay; empty texts are copies of each other; a null id ranks
-last in its group; rows of one id and text are copies too, one of them stays; further columns are carried along untouched.
-An empty history makes every document a nonmember.
+last in its group; rows of one id and text are copies too, one of them stays; further columns are carried along untouched,
+whatever their names. An empty history makes every document a nonmember. Ids may be of any type that has an order; where
+they aren't integers, ``keep_first`` takes the history as empty.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from __future__ import annotations
 import struct
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheafworks.llm.names import free
 from sheafworks.session import materialise, read_table
 
-SHARD_DIGESTS = 200_000
+SHARD_DIGESTS = 50_000
 _LOAD = 4  # digests a displacement bucket holds on average
 _TRIES = 1 << 16
 
@@ -111,11 +114,14 @@ class PerfectHash:
 class Index:
     """A shard of the history: the hash, and slots of full digests and winner locators."""
 
-    def __init__(self, digests: np.ndarray, winners: np.ndarray) -> None:
-        self.hash = PerfectHash.build(digests)
-        at = self.hash.slots(digests)
-        self.digests, self.winners = np.empty_like(digests), np.empty_like(winners)
-        self.digests[at], self.winners[at] = digests, winners
+    def __init__(self, hash: PerfectHash, digests: np.ndarray, winners: np.ndarray) -> None:
+        self.hash, self.digests, self.winners = hash, digests, winners
+
+    @classmethod
+    def build(cls, digests: np.ndarray, winners: np.ndarray) -> Index:
+        found = PerfectHash.build(digests)
+        order = np.argsort(found.slots(digests))
+        return cls(found, digests[order], winners[order])
 
     def lookup(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each digest is a member (all 32 bytes agree), and the slots."""
@@ -123,32 +129,52 @@ class Index:
         return (self.digests[at] == digests).all(axis=1), at
 
 
-def _matrix(digests: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32)
+def _matrix(digests: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(digests.to_pylist()), np.uint8).reshape(-1, 32)
 
 
 def _digest(text_col: str) -> Column:
-    return F.unhex(F.sha2(F.col(text_col), 256))
+    return F.unhex(F.sha2(F.col(f"`{text_col}`"), 256))
+
+
+def _shard(shards: int) -> Column:
+    return F.pmod(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("bigint"), F.lit(shards)).cast("int")
+
+
+def build_index(history: DataFrame, shards: int) -> DataFrame:
+    """(shard, hash, digests, winners), a row a shard: of (digest, doc_id), digests distinct, the hash function, the slots' digests
+    and, slot by slot, the ids."""
+    kind = history.schema["doc_id"].dataType.simpleString()
+
+    def build(table: pa.Table) -> pa.Table:
+        index = Index.build(_matrix(table["digest"]), np.arange(table.num_rows))
+        winners = table["doc_id"].combine_chunks().take(pa.array(index.winners))
+        offsets = pa.array([0, table.num_rows], pa.int32())
+        columns = [table["shard"].combine_chunks()[:1], pa.array([index.hash.to_bytes()], pa.binary()), pa.array([index.digests.tobytes()], pa.binary()), pa.ListArray.from_arrays(offsets, winners)]
+        return pa.Table.from_arrays(columns, names=["shard", "hash", "digests", "winners"])
+
+    known = history.select("digest", "doc_id").withColumn("shard", _shard(shards))
+    return known.groupBy("shard").applyInArrow(build, f"shard int, hash binary, digests binary, winners array<{kind}>")
 
 
-def locate(history: DataFrame, new: DataFrame, n_history: int, shard_digests: int = SHARD_DIGESTS) -> DataFrame:
+def locate(index: DataFrame, new: DataFrame, shards: int) -> DataFrame:
     """The rows of ``new`` (digest, doc_id, n, same; digests distinct) with ``winner``, the locator in the slot that a member hits,
-    and ``member``. ``history`` has distinct digests too."""
+    and ``member``. ``index`` was built for as many shards."""
     kind = new.schema["doc_id"].dataType.simpleString()
-    shards = max(1, -(-n_history // shard_digests))
-    shard = F.pmod(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("bigint"), F.lit(shards)).cast("int")
 
-    def look(old: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        member, winner = np.zeros(len(docs), bool), np.full(len(docs), None, dtype=object)
-        if len(old) and len(docs):
-            index = Index(_matrix(old["digest"]), old["doc_id"].to_numpy(dtype=object))
-            member, at = index.lookup(_matrix(docs["digest"]))
-            winner[member] = index.winners[at[member]]
-        return pd.DataFrame({"digest": docs["digest"], "doc_id": docs["doc_id"], "n": docs["n"], "same": docs["same"], "member": member, "winner": winner})
+    def look(old: pa.Table, docs: pa.Table) -> pa.Table:
+        docs = docs.select(["digest", "doc_id", "n", "same"])
+        member, winner = np.zeros(docs.num_rows, bool), pa.nulls(docs.num_rows, docs.schema.field("doc_id").type)
+        if old.num_rows and docs.num_rows:
+            digests = np.frombuffer(old["digests"][0].as_py(), np.uint8).reshape(-1, 32)
+            shard = Index(PerfectHash.from_bytes(old["hash"][0].as_py()), digests, np.arange(len(digests)))
+            member, at = shard.lookup(_matrix(docs["digest"]))
+            winner = old["winners"][0].values.take(pa.array(shard.winners[at], mask=~member))
+        return docs.append_column("member", pa.array(member)).append_column("winner", winner)
 
-    left = history.select("digest", "doc_id").withColumn("shard", shard).groupBy("shard")
-    right = new.select("digest", "doc_id", "n", "same").withColumn("shard", shard).groupBy("shard")
-    return left.cogroup(right).applyInPandas(look, f"digest binary, doc_id {kind}, n bigint, same bigint, member boolean, winner {kind}")
+    left = index.groupBy("shard")
+    right = new.select("digest", "doc_id", "n", "same").withColumn("shard", _shard(shards)).groupBy("shard")
+    return left.cogroup(right).applyInArrow(look, f"digest binary, doc_id {kind}, n bigint, same bigint, member boolean, winner {kind}")
 
 
 def decide(docs: DataFrame, is_history: Column, shard_digests: int = SHARD_DIGESTS) -> DataFrame:
@@ -163,7 +189,9 @@ def decide(docs: DataFrame, is_history: Column, shard_digests: int = SHARD_DIGES
     blank = ids.where("digest is null").select("old", "digest", "doc_id", F.col("k").alias("n"), F.col("k").alias("same"))
     groups = materialise(known.unionByName(blank), "digests")
     old, new = groups.where("old and digest is not null"), groups.where("not old and digest is not null")
-    found = materialise(locate(old, new, old.count(), shard_digests), "located")
+    shards = max(1, -(-max(old.count(), new.count()) // shard_digests))
+    index = materialise(build_index(old, shards), "perfect-hash")
+    found = materialise(locate(index, new, shards), "located")
     repeats = found.where("member").select("digest", F.col("n").alias("m"))
     kept_old = old.join(repeats, "digest", "left").select("doc_id", "digest", (F.col("n") + F.coalesce("m", F.lit(0))).alias("copies"), "same", F.lit("history").alias("origin"))
     kept_new = found.where("not member").select("doc_id", "digest", F.col("n").alias("copies"), "same", F.lit("new").alias("origin"))
@@ -175,7 +203,9 @@ def decide(docs: DataFrame, is_history: Column, shard_digests: int = SHARD_DIGES
 
 def earlier_half(docs: DataFrame, id_col: str = "doc_id") -> Column:
     """The ids up to the middle of their range, as what an earlier load brought. Which rows stay doesn't depend on where the
-    loads part, as ids rise from load to load."""
+    loads part, as ids rise from load to load. Ids that aren't integers have no middle: nothing is history then."""
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        return F.lit(False)
     r = docs.agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).collect()[0]
     return F.lit(False) if r["lo"] is None else F.col(id_col) < F.lit((r["lo"] + r["hi"]) // 2)
 
@@ -186,8 +216,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts meet only the digests that have copies. These are broadcast if they are at most ``broadcast_rows`` (a row is some
     80 bytes), else both sides are shuffled.
     """
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    digest, winner, same = (next(n for n in (f"_{x}{'_' * k}" for k in range(len(docs.columns) + 1)) if n not in docs.columns) for x in ("digest", "winner", "same"))
+    plain = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    digest, winner, same = (free(x, docs.columns) for x in ("digest", "winner", "same"))
     several = materialise(decide(plain, earlier_half(plain), shard_digests).where("copies > 1").select(F.col("digest").alias(digest), F.col("doc_id").alias(winner), F.col("same").alias(same)), "copied")
     own = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(*own, _digest(text_col).alias(digest))

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from sheafworks.llm import grams
 from sheafworks.llm.components import components, union_find
+from sheafworks.llm.names import free
 from sheafworks.session import materialise, read_spread
 
 N, THRESHOLD = 3, 0.5
@@ -542,17 +543,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD, **sizes: int) -> DataFrame:
     """The rows, with all their columns, without those whose group has a document of lower id."""
-    name = _free("gone", df.columns)
+    name = free("gone", df.columns)
     gone = materialise(classes(df, id_col, text_col, n, threshold, **sizes).where("doc_id <> class_id").select(F.col("doc_id").alias(name)), "gone")
     return df.join(_small(gone), F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
-def _free(name: str, taken: list[str]) -> str:
-    while name.lower() in {c.lower() for c in taken}:
-        name += "_"
-    return name
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(read_spread(spark, sf_dir, "documents"))
 

@@ -33,7 +33,7 @@ def test_matches_sql(spark, name):
 def test_perfect_hash():
     for n in (1, 2, 17, 3000):
         d = np.frombuffer(b"".join(hashlib.sha256(str(i).encode()).digest() for i in range(n)), np.uint8).reshape(-1, 32)
-        index = exact_dedup.Index(d, np.arange(n))
+        index = exact_dedup.Index.build(d, np.arange(n))
         assert sorted(index.hash.slots(d)) == list(range(n))
         hit, at = index.lookup(d)
         assert hit.all() and (index.winners[at] == np.arange(n)).all()
