@@ -6,10 +6,16 @@ density. Pass two settles the open ones from the nearest decided neighbours: a s
 label both sides share; between two different labels near-good blocks and those with a near-good neighbour side with
 the good one. Headings before good text are kept.
 
+Stop words are those of the language, of ``STOPWORDS``, that covers most of the page's longer blocks without links. Where it
+covers less than ``FIT`` of their words no list fits, as in languages without a list or without spaces between words, and
+density doesn't decide: long blocks are good or near-good by length, unless signs between words (``|``, bullets, arrows) make
+them lists. Characters of scripts without spaces count twice.
+
 Defined results: null HTML gives null text and no block; an empty page, or one without text, gives an empty text;
-unclosed or stray tags are accepted, an unclosed script or comment runs to the page's end; pages of any length are read
-whole; repeated rows get equal results; ties between languages in stop-word density go to the first of STOPWORDS.
-Only the id and HTML columns are read.
+unclosed or stray tags are accepted, an unclosed script, style or comment runs to the page's end, other elements without text
+of the page (``_SKIP``) are dropped with their content only if they are closed; pages of any length are read
+whole; repeated rows get equal results; ties between languages go to the first of STOPWORDS. Ids may be null or of any type.
+Only the id and HTML columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -26,7 +32,9 @@ from sheafworks.session import read_spread
 
 LENGTH_LOW, LENGTH_HIGH = 70, 200
 STOP_LOW, STOP_HIGH = 0.10, 0.18  # for the short lists below, which cover about 40 % of running prose
+FIT = 0.15  # share of words that a language's stop words cover at least, where its list fits
 MAX_LINK_DENSITY = 0.2
+MAX_SIGNS = 0.1  # signs that stand alone, a word, where no list fits
 HEADING_REACH = 200
 
 STOPWORDS = {
@@ -34,12 +42,39 @@ STOPWORDS = {
     "fr": "le la les de des du un une et est en que qui dans pour pas sur au aux ce se son sa ses il elle ils elles on nous vous je tu ne plus par avec tout mais ou où comme si leur y été être avoir fait sont cette ces même aussi bien".split(),
     "de": "der die das und ist in den von zu mit sich des auf für nicht ein eine einen einem einer als auch es an werden aus er hat dass sie nach wird bei noch wie um am im über so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei ich".split(),
     "es": "el la los las de del que y a en un una es se no por con para su al lo como más o pero sus le ya este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien desde todo nos durante uno ni contra otros ese eso ante ellos e esto mí antes algunos qué unos yo otro".split(),
+    "it": "il lo la i gli le un uno una di a da in con su per tra fra e è che non si del della dei delle dello degli al alla ai alle dal dalla nel nella nei nelle sul sulla come ma più anche sono ha ho era essere questo questa quello suo sua loro se ci molto dopo".split(),
+    "pt": "o a os as um uma de do da dos das em no na nos nas por para com sem que e é não se ao aos à às pelo pela mais como mas foi ser são tem seu sua ou quando muito já está também só eu ele ela isso entre depois".split(),
+    "nl": "de het een en van in is dat die te op aan met voor niet zijn er om ook als maar bij uit door naar dan nog wel over hij zij ze ik je we wordt worden werd was heeft hebben had kan meer geen dit deze tot".split(),
+    "ro": "și de la în a cu pe nu că un o din pentru care este se mai ca au fost sau după prin dar este sunt lui ei lor al ale ai cel cea între până acest această".split(),
+    "ca": "el la els les un una de del dels a al als en i que és no per amb es seu seva com més però són ha va aquest aquesta o si ja molt també entre".split(),
+    "sv": "och i att det som en på är av för med den till inte har de ett om var men sig så från vi man hade jag kan han hon när eller nu ut där efter vid under också".split(),
+    "da": "og i at det er en til på som for med den af de ikke et har der var han jeg fra men vi kan om sig så ved hun eller efter også blev over skal når ud".split(),
+    "no": "og i det er på som en til å for med av at de ikke den har et om han var jeg fra men vi kan seg så ved hun eller etter også ble over skal når ut".split(),
+    "fi": "ja on ei se että oli hän mutta ovat myös kun ole joka kuin niin tai sen hänen jos vain mitä nyt sitä ne olla olen sekä mukaan jo".split(),
+    "pl": "i w na z do się nie to jest że o jak po za od dla przez ale czy być tym tak są był była było oraz który która które jego jej ich już tylko także przy ze".split(),
+    "cs": "a v se na je že to s z do o i k ve pro jako za by ale po si od jsem jsou byl byla bylo které který která nebo už jen při až než také jeho".split(),
+    "hu": "a az és hogy nem is egy ez van volt meg de ha csak mint már még el vagy lesz azt ezt minden nagyon után között majd ki fel".split(),
+    "tr": "ve bir bu da de için ile olarak çok daha o ne gibi kadar sonra olan ama en var her ya değil ise mi onun bunu şu ben sen biz".split(),
+    "id": "yang dan di ke dari untuk pada dengan ini itu adalah tidak dalam akan oleh juga sebagai ada mereka dia kami atau karena sudah telah dapat bisa saat lebih".split(),
+    "vi": "và của là có cho không được trong một những các với người này đã để khi từ đến cũng như về ra vào nhưng tại trên theo nhiều".split(),
+    "ru": "и в не на что с он как по это но из у к за от так же о для бы то его все она мы был было были или ее их мне если уже еще только при до чтобы я вы они".split(),
+    "uk": "і в у не на що з та як до він це але за від по так для або його вона ми був було були про їх якщо вже ще при то я ви вони також".split(),
+    "bg": "и в на да се не от за е с че по като но са си до това ще или който която което при ако има той тя ги му след още само".split(),
+    "el": "και το η ο να του της με που την από για τα στο είναι στην δεν σε τον οι των τις θα μια ένα ως στη αυτό ή κατά μας αλλά".split(),
+    "ar": "في من على إلى أن عن مع هذا هذه التي الذي لا ما كان كانت هو هي أو بعد قد كل بين ثم كما لم لن عند حتى غير".split(),
+    "hi": "के का की है में से को और पर यह कि हैं ने भी एक था थे नहीं इस तो लिए हो कर या जो वह साथ ही तक".split(),
 }
 _STOP = {k: frozenset(v) for k, v in STOPWORDS.items()}
+_OF = {w: tuple(k for k, s in _STOP.items() if w in s) for w in set().union(*_STOP.values())}
 
 _BLOCK = frozenset("address article aside blockquote body br caption center col colgroup dd details div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
-_WORD = re.compile(r"[^\W\d_]+")
+#: Elements whose content isn't text of the page.
+_SKIP = frozenset("noscript template textarea select svg iframe title object math".split())
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.S | re.I)
+_CLOSING = {k: re.compile(rf"</{k}\s*>", re.I) for k in _SKIP}
+_WORD = re.compile(r"[^\W\d_](?:[^\W\d_]|[\u0300-\u036f\u064b-\u0652\u0900-\u0dff])*")
+_SIGN = re.compile(r"(?<!\S)[|¦•·●▪»«›‹>/\\~*=]+(?!\S)")
+_WIDE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 @dataclass
@@ -65,7 +100,10 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
+    at, size, unclosed = 0, len(page), set()
+    while at < size:
+        m = _TOKEN.match(page, at)
+        at = m.end()
         name = m.group(3)
         if name is None:
             if (s := m.group(0))[0] != "<" or s == "<":
@@ -74,7 +112,13 @@ def blocks(page: str) -> list[Block]:
                     linked += len(html_lib.unescape(s).strip())
             continue
         name = name.lower()
-        if name == "a":
+        if name in _SKIP:
+            if not m.group(2) and name not in unclosed and not m.group(4).endswith("/"):
+                if end := _CLOSING[name].search(page, at):
+                    at = end.end()
+                else:
+                    unclosed.add(name)  # there is none from here on
+        elif name == "a":
             depth = max(0, depth - 1) if m.group(2) else 1
         elif name in _BLOCK:
             close()
@@ -83,24 +127,39 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def length(text: str) -> int:
+    """Characters, those of scripts without spaces twice."""
+    return len(text) if text.isascii() else len(text) + sum(1 for _ in _WIDE.finditer(text))
+
+
 def first_pass(found: list[Block]) -> None:
-    """Each block by itself. The stop words are those of the language that covers most of the page."""
+    """Each block by itself, with the stop words of the page's language if there is a list that fits."""
     words = [_WORD.findall(b.text.lower()) for b in found]
-    cover = {k: sum(sum(w in s for w in ws) for ws in words) for k, s in _STOP.items()}
-    stop = _STOP[max(cover, key=cover.__getitem__)] if cover else frozenset()
-    for b, ws in zip(found, words):
-        n = len(b.text)
-        density = sum(w in stop for w in ws) / len(ws) if ws else 0.0
-        if b.linked / n > MAX_LINK_DENSITY or "©" in b.text:
+    sizes = [length(b.text) for b in found]
+    far = [b.linked / len(b.text) > MAX_LINK_DENSITY or "©" in b.text for b in found]
+    cover, total = dict.fromkeys(_STOP, 0), 0
+    for ws, n, bad in zip(words, sizes, far):
+        if n >= LENGTH_LOW and not bad:
+            total += len(ws)
+            for w in ws:
+                for k in _OF.get(w, ()):
+                    cover[k] += 1
+    best = max(cover, key=cover.__getitem__)
+    stop = _STOP[best] if cover[best] >= FIT * total else None
+    for b, ws, n, bad in zip(found, words, sizes, far):
+        if bad:
             b.label = "bad"
         elif n < LENGTH_LOW:
             b.label = "bad" if b.linked else "short"
-        elif density >= STOP_HIGH:
-            b.label = "good" if n > LENGTH_HIGH else "neargood"
-        elif density >= STOP_LOW:
-            b.label = "neargood"
+        elif stop is None:
+            listed = len(_SIGN.findall(b.text)) > MAX_SIGNS * len(ws)
+            b.label = "bad" if listed else "good" if n > LENGTH_HIGH else "neargood"
         else:
-            b.label = "bad"
+            density = sum(w in stop for w in ws) / len(ws) if ws else 0.0
+            if density >= STOP_HIGH:
+                b.label = "good" if n > LENGTH_HIGH else "neargood"
+            else:
+                b.label = "neargood" if density >= STOP_LOW else "bad"
 
 
 def second_pass(found: list[Block]) -> list[bool]:
