@@ -143,9 +143,9 @@ def _records(data: bytes, version: int | None) -> Iterator[tuple[dict, bytes]]:
         try:
             head, start = _place(data, at, version)
             if version is None and not head["url"].startswith("filedesc://"):
-                raise ValueError("no version block of version 1 or 2")
+                raise ValueError
         except ValueError as e:
-            end = size
+            end, error = size, "no version block of version 1 or 2" if version is None else str(e)
             # the next line that is a record line, after this one
             for m in _RECORD_LINE.finditer(data, at if version is None else at + 1):
                 try:
@@ -157,7 +157,7 @@ def _records(data: bytes, version: int | None) -> Iterator[tuple[dict, bytes]]:
                     if version is None:
                         version = head["version"]
                     break
-            yield {"url": None, "version": version, "error": str(e)}, data[at:end]
+            yield {"url": None, "version": version, "error": error}, data[at:end]
             at = end
             continue
         version = head["version"]
