@@ -21,7 +21,6 @@ from __future__ import annotations
 import functools
 import json
 import math
-import os
 import re
 from collections.abc import Iterator
 
@@ -32,7 +31,8 @@ from pyspark.sql import types as T
 
 from sheafworks.session import read_table
 
-#: Word list with ranks (a public tokenizer's whole-word entries); without the file the short list below serves alone.
+#: Word list with ranks (a public tokenizer's whole-word entries). The file must be on every worker: verdicts don't depend on
+#: where a task runs. ``None`` in its place takes the short list below alone.
 WORDS_PATH = "/opt/tokenizers/word_bpe_49k.json"
 MIN_LOG10_GUESSES = 6.0
 SEGMENT_LOG10 = 0.6  # what another segment adds: the guesser must also find the order of segment kinds
@@ -69,6 +69,7 @@ COMMON = "password 123456 12345678 qwerty letmein admin welcome changeme secret
 _LEET = str.maketrans("013457@$!8", "oieastasib")
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _DATE = re.compile(r"(?:19|20)\d{2}(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0?[1-9]|[12]\d|3[01])[-/._](?:0?[1-9]|1[0-2])[-/._](?:19|20)?\d{2}|(?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)\d{2}")
+#: A unit is costed by brute force, so repeats of units over 12 characters cost 10^12 guesses or more and can't change a verdict.
 _REPEAT = re.compile(r"(.{1,12}?)\1+", re.S)
 
 
@@ -80,16 +81,22 @@ def _neighbours() -> dict[str, str]:
 _NEAR = _neighbours()
 
 
+class Words(dict):
+    """Lower-case word → log10 of its rank; ``longest`` is the length of the longest."""
+
+    longest = 0
+
+
 @functools.lru_cache(maxsize=4)
-def dictionary(path: str | None = WORDS_PATH) -> dict[str, float]:
-    """Lower-case word → log10 of its rank."""
-    ranks = {w: math.log10(k + 2) for k, w in enumerate(COMMON)}
-    if path and os.path.exists(path):
+def dictionary(path: str | None = WORDS_PATH) -> Words:
+    ranks = Words({w: math.log10(k + 2) for k, w in enumerate(COMMON)})
+    if path:
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         words = sorted((i, w[:-4]) for w, i in vocab.items() if w.endswith("</w>") and len(w) > 6 and w[:-4].isalpha())
         for k, (_, w) in enumerate(words):
             ranks.setdefault(w, math.log10(len(COMMON) + k + 2))
+    ranks.longest = max(map(len, ranks))
     return ranks
 
 
@@ -109,9 +116,9 @@ def matches(value: str, words: dict[str, float]) -> Iterator[tuple[int, int, str
     low, n = value.lower(), len(value)
     if len(low) != n:  # a few letters change length with case
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
-    plain = low.translate(_LEET)
+    plain, longest = low.translate(_LEET), getattr(words, "longest", None) or max(map(len, words), default=0)
     for i in range(n):
-        for j in range(i + 3, min(n, i + 24) + 1):
+        for j in range(i + 3, min(n, i + longest) + 1):
             w, extra = low[i:j], 0.0
             if w not in words:
                 w, extra = plain[i:j], math.log10(4)

@@ -41,3 +41,14 @@ def test_words_of_four_languages(word, sign):
 @pytest.mark.parametrize("text", ["the password is lost", "das Passwort ist falsch, el secreto es evidente", 'password = "", user = "robert"', "token='ab', x='abcdefgh'", "the token is case-sensitive."])
 def test_no_value(text):
     assert values(text) == []
+
+
+def test_words():
+    """No worker goes on without the list; words of any length of it count."""
+    with pytest.raises(FileNotFoundError):
+        secrets.dictionary("/nowhere/words.json")
+    words = secrets.dictionary()
+    longest = max((w for w in words if w.isascii()), key=len)
+    assert words.longest == max(map(len, words)) and any(m[:3] == (0, len(longest), "word") for m in secrets.matches(longest, words))
+    long = "qzkvw" * 9 + "x"
+    assert secrets.guess_cost(long, {long: 1.0}) == (1.0, [(0, len(long), "word")])
