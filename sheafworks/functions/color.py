@@ -32,3 +32,11 @@ def rgb_to_hex(rgb: Column) -> Column:
 def cycled_value(position: Column, start: int = 255, step: int = 2, least: int = 200) -> Column:
     """The value of the position-th (from 0) box of a category: from ``start`` down by ``step`` to ``least``, then again."""
     return (start - step * F.pmod(position, F.lit((start - least) // step + 1))).cast("int")
+
+
+def table_cycle(position: Column, sat: int = 255, val: int = 255, step: int = 2, least: int = 50) -> Column:
+    """(saturation, value) of a table's position-th cell (from 0): the value goes down by ``step`` to ``least``; then it begins again
+    with a saturation less by ``step``, which begins again below ``least``."""
+    values, sats = (val - least) // step + 1, (sat - least) // step + 1
+    s = sat - step * F.pmod(F.floor(position / values), F.lit(sats))
+    return F.struct(s.cast("int").alias("s"), (val - step * F.pmod(position, F.lit(values))).cast("int").alias("v"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sheafworks import schemas as S
 
@@ -71,3 +72,8 @@ def class_table(spark: SparkSession, s: Settings) -> DataFrame:
     """(category, class, label): a few rows, whatever the data."""
     labels, classes = class_map(s)
     return spark.createDataFrame([(k, c, labels[c]) for k, c in sorted(classes.items())], "category int, class int, label string")
+
+
+def coco_labels(doc: DataFrame) -> DataFrame:
+    """(class, label) as a COCO file's categories name them, in their order: DocLayNet's labels, or any other data set's."""
+    return doc.select(F.posexplode("categories").alias("class", "c")).select("class", F.col("c.name").alias("label"))

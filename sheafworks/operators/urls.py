@@ -58,21 +58,6 @@ def missing(required: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     return required.select(key).subtract(processed.select(key))
 
 
-def chunk_number(order: Column, size: int) -> Column:
-    """Fixed-size chunks in order, from 0."""
-    return F.floor((F.row_number().over(Window.orderBy(order)) - 1) / size).cast("int")
-
-
-def round_robin(order: Column, nodes: int) -> Column:
-    """Node 1 … nodes, in turn."""
-    return (F.pmod(F.row_number().over(Window.orderBy(order)) - 1, F.lit(nodes)) + 1).cast("int")
-
-
-def near_equal_part(order: Column, parts: int) -> Column:
-    """Contiguous parts from 0 whose sizes differ by one at most, the longer ones first."""
-    return (F.ntile(parts).over(Window.orderBy(order)) - 1).cast("int")
-
-
 def global_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
     """Positions from 0 in a total order, without bringing all rows into one partition: rows are range-partitioned and each
     partition's rows are numbered after the sum of those before it."""
@@ -87,3 +72,10 @@ def global_position(df: DataFrame, order: list[str], name: str = "pos") -> DataF
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """n rows without replacement, the same ones each time."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+
+
+def batches(df: DataFrame, order: list[str], item: str, size: int = 10) -> DataFrame:
+    """(batch, items): the items in a total order, ``size`` at a time."""
+    pos = global_position(df, order)
+    sets = pos.groupBy(F.floor(F.col("pos") / size).alias("batch")).agg(F.array_sort(F.collect_list(F.struct("pos", F.col(item).alias("item")))).alias("_i"))
+    return sets.select("batch", F.transform("_i", lambda x: x["item"]).alias("items"))

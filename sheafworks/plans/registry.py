@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sheafworks.plans import corpus, datasets, download, layout, pipelines, structure, urls
+from sheafworks.plans import corpus, datasets, documents, download, layout, pipelines, sources, structure, urls
 from sheafworks.plans.base import ORACLES, QUERIES
 
-MODULES = (corpus, datasets, download, layout, pipelines, structure, urls)
+MODULES = (corpus, datasets, documents, download, layout, pipelines, sources, structure, urls)
 __all__ = ["MODULES", "ORACLES", "QUERIES"]

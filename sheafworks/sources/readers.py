@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import json
 import re
 import tarfile
+import urllib.parse
+import urllib.request
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,19 +36,118 @@ def raw_urls(spark: SparkSession, paths: str) -> DataFrame:
     return spark.read.schema(S.RAW_URLS).parquet(paths)
 
 
-def warc_records(data: bytes) -> Iterator[tuple[str, str | None, bytes]]:
-    """(type, target, payload) of the records of a WARC file, gzipped by record, as a whole, or not at all."""
-    raw = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-    at = 0
-    while (at := raw.find(b"WARC/", at)) >= 0:
-        head_end = raw.find(b"\r\n\r\n", at)
-        if head_end < 0:
+def schema_mismatches(spark: SparkSession, paths: str, schema: T.StructType = S.RAW_URLS) -> DataFrame:
+    """(path, found) of Parquet files whose schema isn't the one accepted: names, types and order. Only footers are read, by tasks."""
+    want = [(f.name, f.dataType.simpleString()) for f in schema]
+    kinds = {"int64": "bigint", "int32": "int", "float": "float", "double": "double", "bool": "boolean", "large_string": "string"}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for path, content in zip(b["path"], b["content"]):
+                found = [(f.name, kinds.get(str(f.type), str(f.type))) for f in pq.read_schema(io.BytesIO(content))]
+                if found != want:
+                    rows.append((path, ", ".join(f"{n} {t}" for n, t in found)))
+            yield pd.DataFrame(rows, columns=["path", "found"])
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths).select("path", "content").mapInPandas(run, "path string, found string")
+
+
+def checked_urls(spark: SparkSession, paths: str) -> DataFrame:
+    """``raw_urls``, or a ValueError that names a file of another schema."""
+    if (bad := schema_mismatches(spark, paths).first()) is not None:
+        raise ValueError(f"{bad['path']} has the columns {bad['found']}")
+    return raw_urls(spark, paths)
+
+
+class _Plain:
+    """Bytes of a file as they are, or of its gzip members one after the other, a piece at a time."""
+
+    def __init__(self, f: BinaryIO, piece: int = 1 << 20) -> None:
+        self.f, self.piece, self.rest = f, piece, b""
+        self.zipped = None
+        self.buffer = bytearray()
+        self.ended = False
+
+    def _more(self) -> bool:
+        raw = self.rest or self.f.read(self.piece)
+        self.rest = b""
+        if not raw:
+            self.ended = True
+            return False
+        if self.zipped is None and not self.buffer and raw[:2] != b"\x1f\x8b":
+            self.zipped = False
+        if self.zipped is False:
+            self.buffer += raw
+            return True
+        if self.zipped is None or self.zipped.eof:
+            raw = raw.lstrip(b"\0")
+            if not raw:
+                return True
+            self.zipped = zlib.decompressobj(31)
+        try:
+            self.buffer += self.zipped.decompress(raw)
+            self.rest = self.zipped.unused_data
+        except zlib.error:  # what was read before a damaged member stays
+            self.ended = True
+        return not self.ended
+
+    def line(self) -> bytes:
+        """Up to and with the next line feed; empty at the end."""
+        at = 0
+        while (k := self.buffer.find(b"\n", at)) < 0:
+            at = len(self.buffer)
+            if self.ended or not self._more():
+                k = len(self.buffer) - 1
+                break
+        out = bytes(self.buffer[: k + 1])
+        del self.buffer[: k + 1]
+        return out
+
+    def read(self, n: int) -> bytes:
+        while len(self.buffer) < n and not self.ended and self._more():
+            pass
+        out = bytes(self.buffer[:n])
+        del self.buffer[:n]
+        return out
+
+
+def warc_stream(f: BinaryIO) -> Iterator[tuple[str, str | None, bytes]]:
+    """(type, target, payload) of the records of a WARC file, gzipped by record, as a whole, or not at all. One record is held at a
+    time, besides a piece of the file."""
+    plain = _Plain(f)
+    while line := plain.line():
+        if not line.startswith(b"WARC/"):
+            continue
+        head: dict[str, str] = {}
+        while (line := plain.line()) not in (b"\r\n", b"\n", b""):
+            name, colon, value = line.decode("utf-8", "replace").partition(":")
+            if colon:
+                head[name.strip().lower()] = value.strip()
+        if not line:
             return
-        head = dict(line.split(":", 1) for line in raw[at:head_end].decode("utf-8", "replace").split("\r\n")[1:] if ":" in line)
-        head = {k.strip().lower(): v.strip() for k, v in head.items()}
-        n = int(head.get("content-length", 0))
-        yield head.get("warc-type", ""), head.get("warc-target-uri"), raw[head_end + 4 : head_end + 4 + n]
-        at = head_end + 4 + n
+        n = head.get("content-length", "0")
+        yield head.get("warc-type", ""), head.get("warc-target-uri"), plain.read(int(n) if n.isdigit() else 0)
+
+
+def warc_records(data: bytes) -> Iterator[tuple[str, str | None, bytes]]:
+    return warc_stream(io.BytesIO(data))
+
+
+_RECORD = "path string, type string, target string, payload binary"
+
+
+def _record_batches(path: str, records: Iterator[tuple[str, str | None, bytes]], record_type: str | None) -> Iterator[pd.DataFrame]:
+    rows, size = [], 0
+    for kind, target, payload in records:
+        if record_type in (None, kind):
+            rows.append((path, kind, target, payload))
+            size += len(payload)
+            if size > 8 << 20:
+                yield pd.DataFrame(rows, columns=["path", "type", "target", "payload"])
+                rows, size = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["path", "type", "target", "payload"])
 
 
 def archives(files: DataFrame, record_type: str | None = "metadata") -> DataFrame:
@@ -52,41 +156,100 @@ def archives(files: DataFrame, record_type: str | None = "metadata") -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for path, content in zip(b["path"], b["content"]):
-                rows = [(path, k, t, p) for k, t, p in warc_records(bytes(content)) if record_type in (None, k)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "type", "target", "payload"])
+                yield from _record_batches(path, warc_stream(io.BytesIO(content)), record_type)
 
-    return files.select("path", "content").mapInPandas(run, "path string, type string, target string, payload binary")
+    return files.select("path", "content").mapInPandas(run, _RECORD)
 
 
-@F.udtf(returnType="value string")
-class JsonStrings:
-    """All strings of a JSON text, depth first in document order, repeats kept; keys aren't values."""
+def open_range(uri: str, offset: int | None = None, length: int | None = None, timeout: float = 60) -> BinaryIO:
+    """A file, ``file:`` or http(s) address as a stream, or the ``length`` bytes of it from ``offset`` on."""
+    scheme = uri.split(":", 1)[0].lower() if "://" in uri or uri.startswith("file:") else ""
+    ranged = offset is not None and offset > -1 and length is not None and length > 0
+    if scheme in ("http", "https"):
+        head = {"Range": f"bytes={offset}-{offset + length - 1}"} if ranged else {}
+        return urllib.request.urlopen(urllib.request.Request(uri, headers=head), timeout=timeout)
+    if scheme not in ("", "file"):
+        raise NotImplementedError(f"{scheme} addresses need an opener of their own")
+    f = open(urllib.parse.unquote(urllib.parse.urlparse(uri).path) if scheme else uri, "rb")
+    if not ranged:
+        return f
+    with f:
+        f.seek(offset)
+        return io.BytesIO(f.read(length))
 
-    def eval(self, text: str) -> Iterator[tuple[str]]:
-        try:
-            todo = [json.loads(text)] if text is not None else []
-        except ValueError:
-            return
-        while todo:
-            x = todo.pop()
-            if isinstance(x, str):
-                yield (x,)
-            elif isinstance(x, dict):
-                todo.extend(reversed(list(x.values())))
-            elif isinstance(x, list):
-                todo.extend(reversed(x))
+
+def fetched_archives(addresses: DataFrame, base: str = "", record_type: str | None = "metadata", opener: Callable[[str, int | None, int | None], BinaryIO] = open_range) -> DataFrame:
+    """Records of archives by address (uri, offset, length; the last two may be null or -1 for whole files), read as streams where
+    they lie: path, type, target, payload, error. Relative addresses follow ``base``; what can't be read is a row with ``error``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for uri, offset, length in zip(b["uri"], b["offset"], b["length"]):
+                full = uri if "://" in uri or uri.startswith(("file:", "/")) else base + uri
+                try:
+                    with opener(full, None if pd.isna(offset) else int(offset), None if pd.isna(length) else int(length)) as f:
+                        for part in _record_batches(uri, warc_stream(f), record_type):
+                            yield part.assign(error=None)
+                except (OSError, NotImplementedError) as e:
+                    yield pd.DataFrame([(uri, None, None, None, f"{type(e).__name__}: {e}")], columns=["path", "type", "target", "payload", "error"])
+
+    wide = addresses.select("uri", F.col("offset").cast("bigint").alias("offset"), F.col("length").cast("bigint").alias("length"))
+    return wide.mapInPandas(run, f"{_RECORD}, error string")
+
+
+def _strings(text: str | None) -> list[str]:
+    """All strings of a JSON text, depth first in document order, repeats kept; keys aren't values."""
+    try:
+        todo = [json.loads(text)] if text is not None else []
+    except ValueError:
+        return []
+    out = []
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif isinstance(x, dict):
+            todo.extend(reversed(list(x.values())))
+        elif isinstance(x, list):
+            todo.extend(reversed(x))
+    return out
 
 
 def json_strings(df: DataFrame, col: str, keep: list[str], pattern: str | None = None) -> DataFrame:
-    """(keep…, value): every string value of the JSON column that matches the pattern."""
-    spark = df.sparkSession
-    spark.udtf.register("json_strings", JsonStrings)
-    df.select(*keep, F.col(col).alias("_json")).createOrReplaceTempView("_json_texts")
-    out = spark.sql(f"SELECT {', '.join(f't.`{k}`' for k in keep)}, j.value FROM _json_texts t, LATERAL json_strings(t._json) j")
+    """(keep…, value): every string value of the JSON column that matches the pattern. Columns to keep stay in Arrow."""
+    kinds = df.select(*keep).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_strings(t) for t in batch.column(len(keep)).to_pylist()]
+            at = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(at) for k in range(len(keep))] + [pa.array([s for f in found for s in f], pa.string())], names=[*keep, "value"])
+
+    out = df.select(*keep, col).mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), "value string"]))
     return out.where(F.col("value").rlike(pattern)) if pattern else out
 
 
+def json_lines_by_position(spark: SparkSession, paths: str) -> DataFrame:
+    """(file, pos, line) of (gzipped) JSON lines: the file's name and the line's number from 0. A file is one stream of lines."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, content in zip(b["path"], b["content"]):
+                plain, rows = _Plain(io.BytesIO(content)), []
+                while line := plain.line():
+                    rows.append((path.rsplit("/", 1)[-1], len(rows), line.decode("utf-8", "replace").rstrip("\r\n")))
+                yield pd.DataFrame(rows, columns=["file", "pos", "line"])
+
+    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, "file string, pos bigint, line string")
+
+
+def folder_members(spark: SparkSession, folder: str, pattern: str = r"\.json$") -> DataFrame:
+    """(path, member, size, content, error) of an unpacked archive's files, like ``tar_members``: path is the folder, member the name."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    parts = [F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("member")]
+    return d.select(*parts, F.col("length").alias("size"), "content", F.lit(None).cast("string").alias("error")).where(F.col("member").rlike(pattern))
+
+
 def tar_members(files: DataFrame, pattern: str = r"\.docx?$", limit: int = 0) -> DataFrame:
     """(path, member, size, content) of tar files' members by name; at most ``limit`` a file if that is over 0. Broken
     archives give one row with ``error``."""
