@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafworks.functions.logs import error_codes
-from sheafworks.operators.urls import keep_last
+from sheafworks.operators.urls import global_position, keep_last
+from sheafworks.session import materialise
 
 
 def export(records: DataFrame, exported: DataFrame, order: list[str]) -> DataFrame:
@@ -41,10 +42,24 @@ def last_fetched(lines: DataFrame, worker: str, order: str, col: str = "line") -
 
 
 def sliding_rate(events: DataFrame, order: list[str], pages: str, start: str, now: str, rows: int = 200, partition: list[str] | None = None) -> DataFrame:
-    """Pages of the last ``rows`` documents, and a second's share of them since the oldest's start (0 under a microsecond)."""
-    w = Window.partitionBy(*(partition or [])).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    total, span = F.sum(pages).over(w), F.col(now).cast("timestamp").cast("double") - F.first(F.col(start).cast("timestamp")).over(w).cast("double")
-    return events.withColumn("pages_in_window", total).withColumn("rate", F.when(span < 1e-6, 0.0).otherwise(total / F.greatest(span, F.lit(1e-6))))
+    """Pages of the last ``rows`` documents, and a second's share of them since the oldest's start (0 under a microsecond).
+
+    A window ends at a row and begins at the one ``rows - 1`` before, which is met by its position; pages between are a
+    difference of running totals. So a partition (or all rows, without any) may be of any size.
+    """
+    by = list(partition or [])
+    placed = materialise(global_position(events, [*by, *order], "_pos", {"_total": pages}), "placed")
+    keys = [F.col(c).alias(f"_key_{c}") for c in by]
+    lead = placed.groupBy(*keys).agg(F.min("_pos").alias("_lead"))  # a row a partition
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    met = placed.join(F.broadcast(lead), same).withColumn("_at", F.greatest(F.col("_pos") - (rows - 1), F.col("_lead")))
+    first = placed.select(F.col("_pos").alias("_at"), F.col(start).cast("timestamp").cast("double").alias("_start"), (F.col("_total") - F.coalesce(F.col(pages), F.lit(0))).alias("_rest"))
+    d = met.join(first, "_at")
+    total, span = F.col("_total") - F.col("_rest"), F.col(now).cast("timestamp").cast("double") - F.col("_start")
+    out = d.withColumn("pages_in_window", total).withColumn("rate", F.when(span < 1e-6, 0.0).otherwise(total / F.greatest(span, F.lit(1e-6))))
+    return out.drop("_at", "_pos", "_total", "_lead", "_start", "_rest", *[f"_key_{c}" for c in by])
 
 
 def running_totals(events: DataFrame, order: list[str], pages: str, failed: str, partition: list[str] | None = None) -> DataFrame:

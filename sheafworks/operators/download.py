@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,18 +41,25 @@ def normalise_sources(df: DataFrame) -> DataFrame:
 
 
 def rotate_shards(df: DataFrame, group: str, order: str, size: str, limit: int) -> DataFrame:
-    """Shard number of each row of a group: a shard closes after the row with which it exceeds the limit.
+    """(group, order, size, shard): a shard closes after the row with which it exceeds the limit.
 
-    The running sum restarts at each close, so it is a fold over the group's ordered rows, in the JVM.
+    The running sum restarts at each close, so rows are taken one after the other: tasks stream through their groups' rows in
+    order and hold a batch of them.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("bigint").alias("s"))))
-    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("shard"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        total = acc["sum"] + r["s"]
-        over = total > limit
-        return F.struct(F.when(over, F.lit(0).cast("bigint")).otherwise(total).alias("sum"), F.when(over, acc["shard"] + 1).otherwise(acc["shard"]).alias("shard"), F.concat(acc["out"], F.array(acc["shard"])).alias("out"))
-
-    folded = df.groupBy(group).agg(rows.alias("_rows")).withColumn("_out", F.aggregate("_rows", start, step, lambda a: a["out"]))
-    each = folded.select(group, F.explode(F.arrays_zip("_rows", "_out")).alias("z"))
-    return each.select(group, F.col("z._rows.o").alias(order), F.col("z._rows.s").alias(size), F.col("z._out").alias("shard"))
+    kinds = df.select(group, order).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total, shard, begun = None, 0, 0, False
+        for b in batches:
+            out = []
+            for g, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if not begun or g != now:
+                    now, total, shard, begun = g, 0, 0, True
+                out.append(shard)
+                total += n or 0
+                if total > limit:
+                    total, shard = 0, shard + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], names=[group, order, size, "shard"])
+
+    rows = df.select(group, order, F.col(size).cast("bigint").alias(size)).repartition(group).sortWithinPartitions(group, order)
+    return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), f"`{size}` bigint, shard int"]))

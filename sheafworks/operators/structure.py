@@ -90,18 +90,19 @@ def split_affixes(text: Column, kind: Column) -> Column:
 
 
 def resolve_fonts(styles: DataFrame) -> DataFrame:
-    """(style, font) with what a style lacks taken from the nearest ancestor that has it: a recursive query over
-    (style, base, font)."""
-    spark = styles.sparkSession
-    name = f"_styles_{abs(hash(id(styles)))}"
-    styles.createOrReplaceTempView(name)
-    return spark.sql(f"""
-        WITH RECURSIVE up(style, base, font, depth) AS (
-            SELECT style, base, font, 0 FROM {name}
+    """(style, font) with what a style lacks taken from the nearest ancestor that has it, however far: a recursive query over
+    (style, base, font). Where bases lead in a circle without a font, there is none."""
+    return styles.sparkSession.sql(
+        """
+        WITH RECURSIVE up(style, base, font, depth, seen) MAX RECURSION LEVEL 10000 AS (
+            SELECT style, base, font, 0, array(style) FROM {styles}
             UNION ALL
-            SELECT u.style, s.base, s.font, u.depth + 1 FROM up u JOIN {name} s ON u.base = s.style WHERE u.font IS NULL AND u.depth < 64
+            SELECT u.style, s.base, s.font, u.depth + 1, array_append(u.seen, s.style) FROM up u JOIN {styles} s ON u.base = s.style
+            WHERE u.font IS NULL AND NOT array_contains(u.seen, s.style)
         )
-        SELECT style, min_by(font, depth) FILTER (WHERE font IS NOT NULL) AS font FROM up GROUP BY style""")
+        SELECT style, min_by(font, depth) FILTER (WHERE font IS NOT NULL) AS font FROM up GROUP BY style""",
+        styles=styles,
+    )
 
 
 def vote(runs: DataFrame, levels: DataFrame, doc: str = "doc_id") -> DataFrame:

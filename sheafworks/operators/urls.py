@@ -28,9 +28,13 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def add_doc_ids(df: DataFrame, source: str, order: list[str]) -> DataFrame:
-    """``source-000000000`` upwards within each source."""
-    n = F.row_number().over(Window.partitionBy(source).orderBy(*order)) - 1
-    return df.withColumn("doc_id", F.concat(F.col(source), F.lit("-"), U.zero_filled(n, 9)))
+    """``source-000000000`` upwards within each source: positions in the whole order, less the source's first one, so a source
+    may have any share of the rows."""
+    pos = global_position(df, [source, *order], "_pos")
+    first = pos.groupBy(source).agg(F.min("_pos").alias("_first")).withColumnRenamed(source, "_source")  # a row a source
+    n = F.col("_pos") - F.col("_first")
+    met = pos.join(F.broadcast(first), F.col(source).eqNullSafe(F.col("_source")))
+    return met.withColumn("doc_id", F.concat(F.col(source), F.lit("-"), U.zero_filled(n, 9))).drop("_pos", "_first", "_source")
 
 
 def clean(raw: DataFrame, source: str = "source", order: tuple[str, ...] = ("url",), drop_null_urls: bool = False) -> DataFrame:
@@ -58,20 +62,40 @@ def missing(required: DataFrame, processed: DataFrame, key: str) -> DataFrame:
     return required.select(key).subtract(processed.select(key))
 
 
-def global_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+def global_position(df: DataFrame, order: list[str], name: str = "pos", totals: dict[str, str] | None = None) -> DataFrame:
     """Positions from 0 in a total order, without bringing all rows into one partition: rows are range-partitioned and each
-    partition's rows are numbered after the sum of those before it."""
+    partition's rows are numbered after the sum of those before it. ``totals`` (name → column) are running totals, each row's own
+    value included, got the same way."""
+    totals = totals or {}
     ranged = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id())
-    sizes = ranged.groupBy("_part").count()
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_own", own).join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_own") - 1).drop("_part", "_own", "_before")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_sum_{k}") for k, c in totals.items()])
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    before = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    offsets = sizes.select("_part", before("_n").alias("_before"), *[before(f"_sum_{k}").alias(f"_before_{k}") for k in totals])
+    own = Window.partitionBy("_part").orderBy(*order)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.withColumn("_own", F.row_number().over(own))
+    for k, c in totals.items():
+        out = out.withColumn(k, F.sum(c).over(upto))
+    out = out.join(offsets, "_part").withColumn(name, F.col("_before") + F.col("_own") - 1)
+    for k in totals:
+        out = out.withColumn(k, F.col(k) + F.col(f"_before_{k}"))
+    return out.drop("_part", "_own", "_before", *[f"_before_{k}" for k in totals])
 
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows without replacement, the same ones each time."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows without replacement, the same ones each time: those of the least digests of seed and key."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+
+
+def near_equal(df: DataFrame, order: list[str], parts: int, name: str = "part") -> DataFrame:
+    """Contiguous parts from 0 in a total order, whose sizes differ by one at most, the longer ones first: positions, then the closed
+    form, without a window over everything."""
+    pos, n = global_position(df, order, "_pos"), df.agg(F.count("*").alias("_n"))
+    d = pos.crossJoin(F.broadcast(n)).withColumn("_q", F.floor(F.col("_n") / parts)).withColumn("_r", F.col("_n") % parts)
+    long = F.col("_r") * (F.col("_q") + 1)
+    part = F.when(F.col("_pos") < long, F.floor(F.col("_pos") / (F.col("_q") + 1))).otherwise(F.col("_r") + F.floor((F.col("_pos") - long) / F.greatest("_q", F.lit(1))))
+    return d.withColumn(name, part.cast("int")).drop("_pos", "_n", "_q", "_r")
 
 
 def batches(df: DataFrame, order: list[str], item: str, size: int = 10) -> DataFrame:

@@ -113,10 +113,21 @@ def text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("alnum_prop", F.round("alnum_prop", 6)).withColumn("alph_to_num_ratio", F.round("alph_to_num_ratio", 6))
 
 
-@query("normalize_text", r"""WITH t AS (SELECT doc_id, strip_accents(lower(regexp_replace(text, '^\s+|\s+$', '', 'g'))) AS t FROM documents)
-  SELECT doc_id, sha256(regexp_replace(replace(replace(regexp_replace(t, '[0-9]', '0', 'g'), '—', ' - '), '…', '...'), '[\x00-\x1f\x7f-\x9f]', '', 'g')) AS digest FROM t""")
+_SIGNS = "，。、„”“«»１」「《》´∶：？！（）；–～’━〈〉【】％►—．…"
+_PLAIN = [",", ".", ",", *['"'] * 10, "'", ":", ":", "?", "!", "(", ")", ";", "-", "~", "'", "-", "<", ">", "[", "]", "%", "-", " - ", ". ", "..."]
+_REPLACED = "t"
+for _a, _b in zip(_SIGNS, _PLAIN):
+    _REPLACED = f"replace({_REPLACED}, '{_a}', '{_b.replace(chr(39), chr(39) * 2)}')"
+
+
+@query("normalize_text", rf"""WITH s AS (SELECT doc_id, concat(text, ' ', '{_SIGNS}'[(doc_id % {len(_SIGNS)} + 1)::INT], 'x', '{_SIGNS}'[(doc_id * 7 % {len(_SIGNS)} + 1)::INT], chr(5), 'É3') AS text FROM documents),
+  t AS (SELECT doc_id, regexp_replace(strip_accents(lower(regexp_replace(text, '^\s+|\s+$', '', 'g'))), '\p{{Nd}}', '0', 'g') AS t FROM s)
+  SELECT doc_id, sha256(regexp_replace({_REPLACED}, '[\x00-\x1f\x7f-\x9f]', '', 'g')) AS digest FROM t""")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.normalised(F.col("text")), 256).alias("digest"))
+    """Texts with two of the signs that are replaced, by turns all of them, a control character and an accent at their ends."""
+    sign = lambda k: F.substring(F.lit(_SIGNS), (k % len(_SIGNS) + 1).cast("int"), F.lit(1))
+    text = F.concat("text", F.lit(" "), sign(F.col("doc_id")), F.lit("x"), sign(F.col("doc_id") * 7), F.lit("\x05É3"))
+    return read_table(spark, sf_dir, "documents").select("doc_id", F.sha2(X.normalised(text), 256).alias("digest"))
 
 
 @query("lang_clean", r"SELECT doc_id, array_to_string(list_filter(string_split_regex(lower(text), '\s+'), lambda w: w <> ''), ' ') AS cleaned FROM documents")

@@ -44,15 +44,8 @@ def overlap_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("page_id", "word_id", "entity_id", G.overlap_area(F.col("wb"), F.col("bbox")).alias("area")).where("area > 0")
 
 
-@query("box_distance", f"WITH e AS ({ENTITIES}), w AS ({WORDS}) SELECT page_id, word_id, entity_id, round(sqrt(pow(greatest(w.x - e.x - e.w, e.x - w.x - w.w, 0), 2) + pow(greatest(w.y - e.y - e.h, e.y - w.y - w.h, 0), 2)), 6) AS distance FROM w JOIN e USING (page_id) WHERE word_id = entity_id")
+@query("box_distance", f"WITH e AS ({ENTITIES}), w AS ({WORDS}) SELECT page_id, word_id, entity_id, round(sqrt(pow(greatest(w.x - e.x - e.w, e.x - w.x - w.w, 0), 2) + pow(greatest(w.y - e.y - e.h, e.y - w.y - w.h, 0), 2)), 6) AS distance FROM w JOIN e USING (page_id)")
 def box_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = words(spark, sf_dir).withColumnRenamed("bbox", "wb").join(entities(spark, sf_dir), "page_id").where("word_id = entity_id")
-    return j.select("page_id", "word_id", "entity_id", F.round(G.distance(F.col("wb"), F.col("bbox")), 6).alias("distance"))
-
-
-@query("box_distance_pairs", f"WITH e AS ({ENTITIES}), w AS ({WORDS}) SELECT page_id, word_id, entity_id, round(sqrt(pow(greatest(w.x - e.x - e.w, e.x - w.x - w.w, 0), 2) + pow(greatest(w.y - e.y - e.h, e.y - w.y - w.h, 0), 2)), 6) AS distance FROM w JOIN e USING (page_id)")
-def box_distance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pairs of a page; ``box_distance`` has only those of one row."""
     j = words(spark, sf_dir).withColumnRenamed("bbox", "wb").join(entities(spark, sf_dir), "page_id")
     return j.select("page_id", "word_id", "entity_id", F.round(G.distance(F.col("wb"), F.col("bbox")), 6).alias("distance"))
 
@@ -149,11 +142,28 @@ def cells_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.cells_in_tables(c, t).select("table_id", "cell_id")
 
 
-@query("table_inference", _groups_sql("y", "h", "x", "w", ("y", "height", "x", "width")).replace(f"c AS ({CELLS})", f"c AS (SELECT * FROM ({CELLS}) WHERE x + w <= 120 AND y + h <= 60)"))
+def _inferred_sql(name: str, cells: str, axes: tuple) -> str:
+    """Groups of one of the four outputs, as (kind, table_id, at, lo, pos, length, size, n_near, n_cells)."""
+    inner = _groups_sql(*axes).replace(f"c AS ({CELLS})", f"c AS (SELECT * FROM ({CELLS}) WHERE x + w <= 120 AND y + h <= 60{cells})")
+    p, size, cross, extent = axes[4]
+    return f"SELECT '{name}' AS kind, table_id, group_{p} AS at, {cross} AS lo, {p} AS pos, {extent} AS length, {size} AS size, n_near, n_cells FROM ({inner})"
+
+
+_Y, _X = ("y", "h", "x", "w", ("y", "height", "x", "width")), ("x", "w", "y", "h", ("x", "width", "y", "height"))
+_HEAD = " AND cell_id < 20000000000"
+_INFERRED = (("table_row", "", _Y), ("table_column", "", _X), ("table_header_row", _HEAD, _Y), ("table_header_column", _HEAD, _X))
+
+
+@query("table_inference", " UNION ALL ".join(_inferred_sql(*x) for x in _INFERRED))
 def table_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and columns of the body's and the header's cells."""
     c = _boxes(spark, sf_dir, CELLS).withColumnRenamed("table_id", "page_id")
     t = c.select("page_id").distinct().select("page_id", F.col("page_id").alias("table_id"), G.box(*map(F.lit, (0.0, 0.0, 120.0, 60.0))).alias("bbox"))
-    return tables.infer(c, c.where("cell_id < 20000000000"), t)["table_row"]
+    found, out = tables.infer(c, c.where("cell_id < 20000000000"), t), None
+    for name, _, (_, _, _, _, (pos, size, cross, extent)) in _INFERRED:
+        own = found[name].select(F.lit(name).alias("kind"), "table_id", F.col(f"group_{pos}").alias("at"), F.col(cross).alias("lo"), F.col(pos).alias("pos"), F.col(extent).alias("length"), F.col(size).alias("size"), "n_near", "n_cells")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 _COUNT_SQL = ", ".join(f"CAST(count(*) FILTER (category = {k}) AS INT) AS num_{n}" for k, n in enumerate(S.ENTITY_NAMES))

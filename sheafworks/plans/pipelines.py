@@ -61,15 +61,6 @@ def annotated_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("page_id", "entity_id", "category", "bbox.x", "bbox.y", "bbox.width", "bbox.height")
 
 
-@query("hsv_colors", "SELECT DISTINCT event_id % 180 AS h, CASE WHEN event_id % 180 = 0 THEN '#ff0000' WHEN event_id % 180 = 60 THEN '#00ff00' ELSE '#0000ff' END AS color FROM events WHERE event_id % 180 IN (0, 60, 120)")
-def hsv_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sheafworks.functions import color
-    from sheafworks.session import read_table
-
-    h = read_table(spark, sf_dir, "events").select((F.col("event_id") % 180).alias("h")).where(F.col("h").isin(0, 60, 120)).distinct()
-    return h.select("h", color.rgb_to_hex(color.hsv_to_rgb(F.col("h"), F.lit(255), F.lit(255))).alias("color"))
-
-
 _HSV = """WITH e AS (SELECT event_id, event_id % 180 AS h, (event_id * 7) % 256 AS s, (event_id // 180) % 256 AS v FROM events),
 k AS (SELECT *, fmod(CAST(5 AS DOUBLE) + CAST(h AS DOUBLE) / 30, 6) AS kr, fmod(CAST(3 AS DOUBLE) + CAST(h AS DOUBLE) / 30, 6) AS kg, fmod(CAST(1 AS DOUBLE) + CAST(h AS DOUBLE) / 30, 6) AS kb, v * (CAST(s AS DOUBLE) / 255) AS c FROM e),
 rgb AS (SELECT *, CAST(round(v - c * greatest(0, least(kr, 4 - kr, 1))) AS INT) AS r, CAST(round(v - c * greatest(0, least(kg, 4 - kg, 1))) AS INT) AS g, CAST(round(v - c * greatest(0, least(kb, 4 - kb, 1))) AS INT) AS b FROM k),
@@ -78,9 +69,9 @@ p AS (SELECT *, CASE WHEN span = 0 THEN 0 WHEN top = r AND g >= b THEN CAST(g -
 SELECT event_id, h, s, v, printf('#%02x%02x%02x', r, g, b) AS color, CAST(round(part * 30) AS INT) % 180 AS h2, CASE WHEN top = 0 THEN 0 ELSE CAST(round(span * CAST(255 AS DOUBLE) / top) AS INT) END AS s2, top AS v2, CAST(255 - 2 * (event_id % 28) AS INT) AS cycled FROM p"""
 
 
-@query("hsv_colors_all", _HSV)
-def hsv_colors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All hues with varying saturation and value, there and back, and cycled values; ``hsv_colors`` has three hues."""
+@query("hsv_colors", _HSV)
+def hsv_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All hues with varying saturation and value, there and back, and cycled values."""
     from sheafworks.functions import color
     from sheafworks.session import read_table
 

@@ -62,10 +62,22 @@ def run_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.vote(runs, structure.heading_levels(structure.font_histogram(runs)))
 
 
-@query("form_segments", f"WITH l AS ({_LINES}) SELECT conv_id, turn, line AS joined FROM l")
+@query("form_segments", rf"""WITH l AS ({_LINES}), p AS (SELECT conv_id, turn, list_filter(string_split(regexp_replace(line, '([_.…]{{4,}})', chr(1) || '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS parts FROM l)
+  SELECT conv_id, turn, array_to_string(parts, '|') AS parts, array_to_string(list_transform(parts, lambda x: CASE WHEN regexp_full_match(x, '[_.…]{{4,}}') THEN 'form_field' ELSE 'form_tag' END), '|') AS labels FROM p""")
 def form_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.sql(_LINES.replace("FROM conversations", "FROM {c}"), c=read_table(spark, sf_dir, "conversations"))
-    return lines.select("conv_id", "turn", F.array_join(F.transform(structure.form_segments(F.col("line")), lambda s: s["text"]), "").alias("joined"))
+    s = structure.form_segments(F.col("line"))
+    return lines.select("conv_id", "turn", F.array_join(F.transform(s, lambda x: x["text"]), "|").alias("parts"), F.array_join(F.transform(s, lambda x: x["label"]), "|").alias("labels"))
+
+
+@query("affix_parts", rf"""WITH l AS ({_LINES}), k AS (SELECT *, (conv_id + turn) % 6 AS k FROM l WHERE (conv_id + turn) % 6 BETWEEN 1 AND 4)
+  SELECT conv_id, turn, CASE k WHEN 1 THEN concat('"|', line[2:-2], '|"') WHEN 2 THEN concat('1) |', line[4:]) WHEN 3 THEN concat('• |', line[3:]) ELSE concat('a. |', line[4:]) END AS parts, CASE k WHEN 1 THEN 'mark|quote|mark' ELSE 'mark|list' END AS labels FROM k""")
+def affix_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes and list items, cut into marks and content (texts here don't begin with white space)."""
+    lines = spark.sql(_LINES.replace("FROM conversations", "FROM {c}"), c=read_table(spark, sf_dir, "conversations")).where("(conv_id + turn) % 6 BETWEEN 1 AND 4")
+    kind = F.when((F.col("conv_id") + F.col("turn")) % 6 == 1, 20).otherwise(11)
+    s = structure.split_affixes(F.col("line"), kind)
+    return lines.select("conv_id", "turn", F.array_join(F.transform(s, lambda x: x["text"]), "|").alias("parts"), F.array_join(F.transform(s, lambda x: x["label"]), "|").alias("labels"))
 
 
 @query("style_inheritance", """WITH RECURSIVE s AS (SELECT concat('s', n_nationkey::VARCHAR) AS style, CASE WHEN n_nationkey >= 5 THEN concat('s', (n_nationkey - 5)::VARCHAR) END AS base, CASE WHEN n_nationkey % 5 = 0 AND n_nationkey > 5 THEN NULL WHEN n_nationkey < 10 THEN concat('f', n_nationkey::VARCHAR) END AS font FROM nation),

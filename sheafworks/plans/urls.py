@@ -62,10 +62,10 @@ def merge_raw_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.merge_raw(r.where("page_id % 2 = 0"), r.where("page_id % 2 = 1"))[0]
 
 
-@query("global_url_dedup", f"WITH {_R} SELECT page_id, url FROM raw WHERE source = 'CC-MAIN-2021-02' AND sha256(url) NOT IN (SELECT sha256(url) FROM raw WHERE source <> 'CC-MAIN-2021-02' AND page_id % 2 = 0)")
+@query("global_url_dedup", f"WITH {_R} SELECT page_id, url FROM raw WHERE source = 'CC-MAIN-2021-02' AND sha256(url) NOT IN (SELECT sha256(url) FROM raw WHERE source <> 'CC-MAIN-2021-02')")
 def global_url_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = raw(spark, sf_dir).withColumn("url_hash", U.url_hash(F.col("url")))
-    return O.global_dedup(r.where("source = 'CC-MAIN-2021-02'"), r.where("page_id % 2 = 0 or source = 'CC-MAIN-2021-02'")).select("page_id", "url")
+    return O.global_dedup(r.where("source = 'CC-MAIN-2021-02'"), r).select("page_id", "url")
 
 
 @query("missing_urls", f"WITH {_R} SELECT url FROM raw EXCEPT SELECT url FROM raw WHERE page_id % 3 = 0")
@@ -94,17 +94,12 @@ def partition_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("partition_array_split", "SELECT o_orderkey, CAST(ntile(25) OVER (ORDER BY o_orderkey) - 1 AS INT) AS part FROM orders")
 def partition_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ntile without one big window: positions, then the closed form of near-equal parts
-    pos = O.global_position(read_table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
-    n = read_table(spark, sf_dir, "orders").agg(F.count("*").alias("n"))
-    d = pos.crossJoin(F.broadcast(n)).withColumn("q", F.floor(F.col("n") / 25)).withColumn("r", F.col("n") % 25)
-    long = F.col("r") * (F.col("q") + 1)
-    return d.select("o_orderkey", F.when(F.col("pos") < long, F.floor(F.col("pos") / (F.col("q") + 1))).otherwise(F.col("r") + F.floor((F.col("pos") - long) / F.greatest("q", F.lit(1)))).cast("int").alias("part"))
+    return O.near_equal(read_table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 25)
 
 
-@query("sample_urls", "SELECT page_id FROM pages ORDER BY md5(page_id::VARCHAR), page_id LIMIT 40")
+@query("sample_urls", "SELECT page_id FROM pages ORDER BY md5(concat('0:', page_id::VARCHAR)), page_id LIMIT 40")
 def sample_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "pages").select("page_id").orderBy(F.md5(F.col("page_id").cast("string")), "page_id").limit(40)
+    return O.sample_exact(read_table(spark, sf_dir, "pages").select("page_id"), "page_id", 40)
 
 
 @query("doc_filenames", f"WITH {_R} SELECT page_id, concat('doc_', sha256(url), regexp_extract(url, '[^./][^/]*?(\\.[^./]*)$', 1)) AS filename FROM raw")

@@ -174,7 +174,7 @@ def test_url_tables(spark):
     assert [r.url_hash for r in urls.global_dedup(h, spark.createDataFrame([("k1", "B")], "url_hash string, source string")).collect()] == [None]
     n = spark.range(10)
     for parts, sizes in ((3, [4, 3, 3]), (10, [1] * 10), (12, [1] * 10), (4, [3, 3, 2, 2])):
-        got = n.select(urls.near_equal_part(F.col("id"), parts).alias("p")).groupBy("p").count().orderBy("p").collect()
+        got = urls.near_equal(n, ["id"], parts, "p").groupBy("p").count().orderBy("p").collect()
         assert [r["count"] for r in got] == sizes
     assert [r.pos for r in urls.global_position(spark.range(100), ["id"]).orderBy("id").collect()] == list(range(100))
 
