@@ -1,20 +1,20 @@
 """SentencePiece encoding and decoding by weighted finite-state transduction.
 
-The model is compiled into a cascade: the normaliser (dummy prefix, space escape), the piece lexicon with byte
-fallback, and the piece grammar. Composed with an input it is a lattice whose states are text positions and whose
+The model is compiled into a cascade: the normaliser (character map, white space; ``sp_normaliser``), the piece lexicon with
+byte fallback, and the piece grammar. Composed with an input it is a lattice whose states are text positions and whose
 arcs are pieces; its shortest path in the tropical semiring (min, +) is the encoding.
 
 * Unigram models: an arc weighs the negative log-probability of its piece, the grammar has one state.
 * BPE models: scores are merge ranks, which don't add up along a path. Here the grammar has a state for each piece and
   an arc from piece a to piece b of weight 0 if merging the string ab yields just a, b, and infinity otherwise. A path
   of finite weight is unique and is the BPE encoding, so the shortest path again gives the library's pieces.
-* A character without a piece leaves the lexicon by its UTF-8 bytes (byte fallback), or by ``<unk>``.
+* A character without a piece leaves the lexicon by its UTF-8 bytes (byte fallback), or, with those beside it, by ``<unk>``.
 
 Where every path passes through one state, the lattice is cut: before an escaped space that follows another
 character (no piece spans that), and around characters without a piece. Parts between cuts recur, so their paths are
 remembered, in a table of bounded size. Defined results: null text gives null pieces, empty text no piece; texts of any
 length are encoded whole; repeated rows get equal pieces; only the id and text columns are read. Decoding joins the
-pieces' bytes, undoes the normaliser and reproduces every input without U+2581.
+pieces' bytes and undoes white space; for models without a character map it reproduces every input without U+2581.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from sheafworks.llm.sp_normaliser import Normaliser
 from sheafworks.session import read_spread
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -64,16 +65,24 @@ class Transducer:
         with open(path, "rb") as f:
             proto.ParseFromString(f.read())
         spec, trainer = proto.normalizer_spec, proto.trainer_spec
-        if spec.precompiled_charsmap or spec.remove_extra_whitespaces or trainer.treat_whitespace_as_suffix or not spec.escape_whitespaces:
-            raise NotImplementedError(f"normaliser {spec.name!r} with a character map or white-space removal")
         if trainer.model_type not in (1, 2):
             raise NotImplementedError("only unigram and BPE models")
-        self.bpe, self.prefix = trainer.model_type == 2, _SPACE if spec.add_dummy_prefix else ""
+        self.bpe = trainer.model_type == 2
+        self.normalise = Normaliser.of(spec, trainer.treat_whitespace_as_suffix)
+        self.plain = self.normalise.begins is None and not spec.remove_extra_whitespaces and spec.escape_whitespaces and not self.normalise.behind
+        self.prefix, self.suffix = self.normalise.before, self.normalise.behind
+        self.stripped, self.squeezed = spec.add_dummy_prefix, spec.remove_extra_whitespaces
         self.pieces = [p.piece for p in proto.pieces]
         self.unk = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.byte_ids = {int(p.piece[3:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
         self.lexicon = {p.piece: i for i, p in enumerate(proto.pieces) if p.type in (1, 4)}
         self.weight = [-p.score for p in proto.pieces]
+        if not self.bpe:  # pieces that users define go before any others
+            top = max((p.score for p in proto.pieces if p.type == 1), default=0.0)
+            for i, p in enumerate(proto.pieces):
+                if p.type == 4:
+                    self.weight[i] = 0.1 - len(p.piece.encode()) * top
+        self.unk_weight = max((-p.score for p in proto.pieces if p.type == 1), default=0.0) + 10.0
         by_rank = sorted(self.lexicon.values(), key=lambda i: (self.weight[i], i))
         self.rank = {i: k + 1 for k, i in enumerate(by_rank)}
         self.longest = max(map(len, self.lexicon), default=1)
@@ -222,10 +231,10 @@ class Transducer:
         return last, size
 
     def _solve_unigram(self, part: str) -> list[int]:
-        n, unk_weight = len(part), max(self.weight) + 10.0
+        n, unk_weight = len(part), self.unk_weight
         best, back = [0.0] + [_INF] * n, [(0, -1)] * (n + 1)
         for j in range(1, n + 1):
-            for length in (*(self.spans.get(part[j - 3 : j], _TWO) if j > 2 else _TWO), 1):
+            for length in (*(self.spans.get(part[j - 3 : j], _TWO) if j > 2 else _TWO if j == 2 else ()), 1):
                 i = j - length
                 if i >= 0 and (p := self.lexicon.get(part[i:j])) is not None and best[i] + self.weight[p] < best[j]:
                     best[j], back[j] = best[i] + self.weight[p], (i, p)
@@ -242,16 +251,32 @@ class Transducer:
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
-        escaped = self.prefix + text.replace(" ", _SPACE)
+        escaped = self.prefix + text.replace(" ", _SPACE) if self.plain else self.normalise(text)
         parts = self.cuts.findall(escaped) if len(text) < 4_000_000 else (m.group() for m in self.cuts.finditer(escaped))
-        return b"".join(map(self.paths.__getitem__, parts))
+        out = b"".join(map(self.paths.__getitem__, parts))
+        return out if self.byte_ids else self._one_unknown(out)
+
+    def _one_unknown(self, blob: bytes) -> bytes:
+        """Unknown characters side by side are one unknown piece."""
+        ids = np.frombuffer(blob, "<i4")
+        again = (ids[1:] == self.unk) & (ids[:-1] == self.unk)
+        return np.delete(ids, np.flatnonzero(again) + 1).tobytes() if again.any() else blob
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<i4").tolist()
 
     def decode(self, ids) -> str:
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(_SPACE, " ")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        raw = self.raw
+        if not self.squeezed:
+            text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").replace(_SPACE, " ")
+            return text[1:] if self.stripped and text.startswith(" ") else text
+        # a space goes from the beginning of each piece until something is written
+        parts, mark = [], _SPACE.encode()
+        for i in ids:
+            parts.append(raw[i] if parts else raw[i].removeprefix(mark))
+            if not parts[0]:
+                parts.clear()
+        return b"".join(parts).decode("utf-8", "replace").replace(_SPACE, " ")
 
 
 @functools.lru_cache(maxsize=2)
