@@ -12,7 +12,7 @@ in place of continuation counts. Symbols that were never seen have the uniform s
 
 Defined results: null text has null scores and is not counted; an empty text is the end symbol alone; repeated rows are
 counted each time and score alike; an empty table gives no row; ids may be null. Only the id and text columns are read.
-Where counts of counts are too few for the discounts' formula (tiny inputs), all discounts of that order are 0.5.
+Where counts of counts are too few for a discount's formula (tiny inputs), see ``discounts``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import math
 import os
 import re
 import shutil
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,11 +118,15 @@ def count_highest(df: DataFrame, text_col: str, order: int = ORDER) -> DataFrame
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    if min(n1, n2, n3, n4) == 0:
-        return 0.5, 0.5, 0.5
-    y = n1 / (n1 + 2 * n2)
-    d = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return d if all(0 < x < k for k, x in enumerate(d, 1)) else (0.5, 0.5, 0.5)
+    """The three discounts of an order from its counts of counts. Each follows its formula; one whose counts are missing, or that
+    falls outside (0, its count), is the plain Kneser-Ney discount n1 / (n1 + 2 n2) instead, for itself alone (one half where no
+    n-gram occurs once)."""
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    out = []
+    for k, (n, more) in enumerate(((n1, n2), (n2, n3), (n3, n4)), 1):
+        d = k - (k + 1) * y * more / n if n1 and n else -1.0
+        out.append(d if 0 < d < k else y if y < 1 else 0.5)
+    return out[0], out[1], out[2]
 
 
 def _discount(d: tuple[float, float, float]) -> Column:
@@ -194,7 +199,7 @@ def _store(df: DataFrame, path: str, name: str, n: int, size: int) -> int:
         shard = int(pdf["shard"].iloc[0])
         for kind, values in (("h", h[order]), ("v", pdf["v"].to_numpy()[order].astype(np.float32))):
             target = os.path.join(path, f"{name}-{shard}-{kind}.npy")
-            temporary = f"{target}.{os.getpid()}.tmp"
+            temporary = f"{target}.{uuid.uuid4().hex}.tmp"
             with open(temporary, "wb") as f:
                 np.save(f, values)
             os.replace(temporary, target)  # a task that runs again leaves the same file

@@ -11,7 +11,7 @@ continuation counts. Words that were never seen have the uniform share of the lo
 
 Defined results: null text has null scores and is not counted; an empty text is the end symbol alone; repeated rows are
 counted each time and score alike; an empty table gives no row; ids may be null. Only the id and text columns are read.
-Where counts of counts are too few for the discounts' formula (tiny inputs), all discounts of that order are 0.5.
+Where counts of counts are too few for a discount's formula (tiny inputs), see ``kn_lm.discounts``.
 """
 
 from __future__ import annotations

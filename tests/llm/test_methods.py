@@ -218,19 +218,13 @@ def test_language_model_brute_force(spark, texts):
     assert got == pytest.approx(brute_kn(train, kn_lm.ORDER, other), rel=1e-5, abs=1e-3)
 
 
-def test_language_model_sums_to_one(spark, texts):
-    m = kn_lm.train(spark, spark.createDataFrame([(t,) for t in texts[:20]], "text string"), order=3)
-    model = kn_lm.Model(m.path, m.meta)
-    seen = sorted({c for t in texts[:20] for c in " ".join(t.lower().split())})
-    # p(first symbol) over all seen symbols, the end and the unknown one
-    ends = model.log10([""])[0]
-    first = []
-    for c in [*seen, "☃"]:
-        if c == " ":
-            continue
-        (two,), _ = model.log10([c + "☃"])
-        first.append(two)
-    assert ends[0] < 0 and all(x < 0 for x in first)
+def test_discounts():
+    y = 10 / (10 + 2 * 6)
+    assert kn_lm.discounts(10, 6, 4, 3) == pytest.approx((1 - 2 * y * 6 / 10, 2 - 3 * y * 4 / 6, 3 - 4 * y * 3 / 4))
+    one, two, three = kn_lm.discounts(10, 6, 0, 3)  # the third alone has no formula
+    assert one == pytest.approx(1 - 2 * y * 0.6) and two == y and three == y or two == pytest.approx(2)
+    assert kn_lm.discounts(0, 0, 0, 0) == (0.5, 0.5, 0.5) and all(0 < d < k for k, d in enumerate(kn_lm.discounts(5, 0, 0, 0), 1))
+    assert all(0 < d < k for n in itertools.product(range(4), repeat=4) for k, d in enumerate(kn_lm.discounts(*n), 1))
 
 
 def test_sentencepiece_library(texts):

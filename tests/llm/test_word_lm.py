@@ -34,3 +34,22 @@ def test_query_counts_words(spark):
     want = {d: len(t.lower().split()) + 1 for d, t in pd.read_parquet(f"{SF}/documents.parquet")[["doc_id", "text"]].itertuples(index=False) if t is not None}
     got = {r.doc_id: r.n_symbols for r in registry.QUERIES["op6_lm_scoring"](spark, SF).collect() if r.n_symbols is not None}
     assert got == want
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_probabilities_sum_to_one(spark, order):
+    """After contexts that occur, occur in part and never occur: all words of the corpus, the end and one unknown word."""
+    import numpy as np
+
+    texts = pd.read_parquet(f"{SF}/documents.parquet")["text"].tolist()[:12]
+    m = word_lm.train(spark, spark.createDataFrame([(t,) for t in texts], "text string"), order=order)
+    known = word_lm._Words()
+    words = sorted({w for t in texts for w in t.lower().split()})
+    codes = [known[w] for w in words] + [word_lm.EOS, known["never-seen-word"]]
+    first = texts[0].lower().split()
+    contexts = [[word_lm.BOS] * (order - 1), [known[w] for w in first[: order - 1]], [known["never-seen-word"], known[first[0]]][: order - 1], [known["x-y"], known["never-seen-word"]][: order - 1]]
+    rows = [(i * 100_000 + k, bytearray(np.array([*c, w], "<u8").tobytes())) for i, c in enumerate(contexts) for k, w in enumerate(codes)]
+    got = word_lm._score_grams(spark.createDataFrame(rows, "h long, gram binary"), m).toPandas()
+    assert len(got) == len(rows)
+    total = (10 ** got["v"]).groupby(got["h"] // 100_000).sum()
+    assert total.tolist() == pytest.approx([1.0] * len(contexts), rel=1e-9)
