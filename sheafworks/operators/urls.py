@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheafworks.functions import url as U
+from sheafworks.session import materialise
 
 
 def merge_raw(*tables: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,9 +66,12 @@ def missing(required: DataFrame, processed: DataFrame, key: str) -> DataFrame:
 def global_position(df: DataFrame, order: list[str], name: str = "pos", totals: dict[str, str] | None = None) -> DataFrame:
     """Positions from 0 in a total order, without bringing all rows into one partition: rows are range-partitioned and each
     partition's rows are numbered after the sum of those before it. ``totals`` (name → column) are running totals, each row's own
-    value included, got the same way."""
+    value included, got the same way.
+
+    The range partitions are written once: their limits come from a sample that differs from one evaluation to the next, so
+    numbers and offsets must be of the same partitions."""
     totals = totals or {}
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id())
+    ranged = materialise(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_sum_{k}") for k, c in totals.items()])
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     before = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
