@@ -53,3 +53,43 @@ def test_probabilities_sum_to_one(spark, order):
     assert len(got) == len(rows)
     total = (10 ** got["v"]).groupby(got["h"] // 100_000).sum()
     assert total.tolist() == pytest.approx([1.0] * len(contexts), rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_words_before_many_positions(spark, order):
+    """Shards so small that contexts of every length, and one whole n-gram, are split."""
+    texts = pd.read_parquet(f"{SF}/documents.parquet")["text"].tolist()
+    train = [*(" ".join(t.split()[:60]) for t in texts[:30]), *["a a a a a a a a a b"] * 40]
+    other = [*train[:4], train[-1], *(" ".join(t.split()[:60]) for t in texts[100:104]), "", "zzz qqq a a a a a zzz", "of the zzz and of the"]
+    ids: dict[str, str] = {}
+    as_one = lambda t: "".join(ids.setdefault(w, chr(0x20000 + len(ids))) for w in t.lower().split())
+    df = lambda t: spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
+    one = df(train)
+    m = word_lm.train(spark, one, order=order, shard=150)
+    assert word_lm._plan(one, "text", order, 150).depth == order
+    for table, own in ((one, train), (df(other), other)):
+        got = word_lm.score(table, m).orderBy("doc_id").collect()
+        assert [r.log10_prob for r in got] == pytest.approx(brute_kn([as_one(t) for t in train], order, [as_one(t) for t in own]), rel=1e-6, abs=1e-6)
+
+
+def test_disk_a_word(spark):
+    """What the query writes, its shuffles and tables, against the words it counts."""
+    from pathlib import Path
+
+    from sheafworks.session import local_path, shared_uri
+
+    shared = Path(local_path(shared_uri(spark)))
+    executors = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    used = lambda: sum(p.stat().st_size for p in shared.rglob("*") if p.is_file()) + sum(executors().apply(i).totalShuffleWrite() for i in range(executors().size()))
+    before = used()
+    words = sum(r.n_symbols or 0 for r in registry.QUERIES["op6_lm_scoring"](spark, SF).collect())
+    assert used() - before < 30 * words  # a small table: most words are new
+
+
+def test_words_of_any_length():
+    """A word's hash has all its bytes in their order."""
+    long = ["a" * 300 + "b" + "c" * 300, "c" + "a" * 299 + "b" + "c" * 299 + "a", "a" * 300 + "c" + "b" + "c" * 299, "é", "e", "ee", ""]
+    assert len({word_lm._Words()[w] for w in long if w}) == 6
+    codes, lens = word_lm.symbols(["A  b\ta", "", " ".join(long)], 3)
+    k = word_lm._Words()
+    assert lens.tolist() == [6, 3, 9] and codes.tolist() == [0, 0, k["a"], k["b"], k["a"], 1, 0, 0, 1, 0, 0, *(k[w] for w in long if w), 1]
