@@ -12,6 +12,9 @@ only sums by document leave it. Where one word is before too many positions (``_
 before, and so on, down to the whole n-gram and the document; the orders up to there (``depth``) are then counted over all
 shards as words are. What is hot and which words get short codes is taken from a sample; neither changes a result.
 
+Workers are reused and stand beside an executor's heap, so each holds no more than it needs at a time: texts, the sample and the
+orders of a shard are taken one after the other, and what a task frees goes back to the system (``_freed``).
+
 ``perplexity = 10 ** (-log10 p / (words + 1))``. For n-grams that begin with a start symbol raw counts stand in place of
 continuation counts. Words that were never seen have the uniform share of the lowest order.
 
@@ -22,6 +25,7 @@ Where counts of counts are too few for a discount's formula (tiny inputs), see `
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -41,6 +45,7 @@ SHARD = 2_000_000  # positions in a shard
 CHUNK = 1_000_000  # positions that a worker packs at once
 SAMPLE, SAMPLE_CHARS = 10_000, 20_000  # texts, and characters of each, that the plan is made from
 CODES = 1 << 19  # words with a short code at most
+ROWS = 2048  # rows that are Python objects at once
 _R = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = _mix(np.arange(1, 65537, dtype=np.uint64) * _R)  # a number for each byte at each of 256 places
 
@@ -60,6 +65,30 @@ def _hashes(joined: str) -> np.ndarray:
     return np.maximum(_mix(np.add.reduceat(v, start)), np.uint64(2))  # 0 and 1 are the start and the end
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+
+
+def _release() -> None:
+    """Gives free memory back to the system, which would otherwise count as the worker's until its next task."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def _freed(run: Callable) -> Callable:
+    """The same function of a partition, that gives its memory back at the end."""
+
+    def outer(*args: object) -> Iterator:
+        yield from run(*args)
+        _release()
+
+    return outer
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS))
+
+
 class _Words(dict):
     """Hash of each word."""
 
@@ -145,6 +174,19 @@ class _Plan:
         return shard, depth
 
 
+class _Tally:
+    """How often each value comes, of arrays that come one by one; values in order."""
+
+    def __init__(self) -> None:
+        self.values, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, x: np.ndarray) -> None:
+        u, n = np.unique(x, return_counts=True)
+        values, n = np.concatenate([self.values, u]), np.concatenate([self.counts, n])
+        self.values, inverse = np.unique(values, return_inverse=True)
+        self.counts = np.bincount(inverse, n, len(self.values)).astype(np.int64)
+
+
 def _plan(df: DataFrame, text_col: str, order: int, shard: int) -> _Plan:
     text = F.col(text_col)
     n, chars = df.where(text.isNotNull()).agg(F.count("*"), F.sum(F.length(text).cast("bigint"))).first()
@@ -154,28 +196,32 @@ def _plan(df: DataFrame, text_col: str, order: int, shard: int) -> _Plan:
         return _Plan(order, 1, [np.zeros(0, np.uint64)] * (order - 1), np.array([BOS, EOS], np.uint64))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, lens, size = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
-        for b in batches:
+        parts, size, found, seen = [], 0, 0, _Tally()
+        seen.add(np.array([BOS, EOS], np.uint64))
+        for b in _slices(batches):
             for texts in _chunks(iter(b.column(0).to_pylist())):
-                more = symbols(texts, order)
-                codes.append(more[0])
-                lens.append(more[1])
+                codes, lens = symbols(texts, order)
+                parts.append((codes, np.flatnonzero(_ends(lens, order)).astype(np.int32) + np.int32(order - 1)))
                 size += sum(map(len, texts))
-        codes, lens = np.concatenate(codes), np.concatenate(lens)
-        ok = np.flatnonzero(_ends(lens, order)) + order - 1 if len(lens) else np.zeros(0, np.int64)
-        total = int(max(len(ok), (chars or 0) * (len(ok) / max(1, size)), n))
-        most, hot, path = 0.75 * shard / total * len(ok), [], None
+                found += len(parts[-1][1])
+                seen.add(codes)
+        total = int(max(found, (chars or 0) * (found / max(1, size)), n))
+        most, hot = 0.75 * shard / total * found, []
         for d in range(1, order):
-            path = _step(path, codes[ok - d])
-            u, count = np.unique(path, return_counts=True)
-            hot.append(u[count > most])
-            keep = np.isin(path, hot[-1])
-            ok, path = ok[keep], path[keep]
-        u, count = np.unique(np.append(codes, np.array([BOS, EOS], np.uint64)), return_counts=True)
-        x = pickle.dumps((-(-total // shard), hot, u[np.argsort(-count, kind="stable")][:CODES]), 5)
+            here = _Tally()
+            for codes, ok in parts if d == 1 or len(hot[-1]) else ():
+                path = None
+                for k in range(1, d + 1):
+                    path = _step(path, codes[ok - k])
+                    if k < d:
+                        keep = np.isin(path, hot[k - 1])
+                        ok, path = ok[keep], path[keep]
+                here.add(path)
+            hot.append(here.values[here.counts > most])
+        x = pickle.dumps((-(-total // shard), hot, seen.values[np.argsort(-seen.counts, kind="stable")][:CODES]), 5)
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary())], names=["x"])
 
-    return _Plan(order, *pickle.loads(part.limit(SAMPLE).repartition(1).mapInArrow(look, "x binary").first()[0]))
+    return _Plan(order, *pickle.loads(part.limit(SAMPLE).repartition(1).mapInArrow(_freed(look), "x binary").first()[0]))
 
 
 def _bundles(plan: _Plan, codes: np.ndarray, at: np.ndarray, row: np.ndarray, counted: bool) -> Iterator[tuple[int, dict]]:
@@ -222,7 +268,7 @@ def _spread(df: DataFrame, run: Callable, shards: int) -> RDD:
         for shard, x in run(batches):
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([pickle.dumps(x, 5)], pa.binary())], names=["shard", "x"])
 
-    return df.mapInArrow(packed, "shard int, x binary").rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(shards, _same)
+    return df.mapInArrow(_freed(packed), "shard int, x binary").rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(shards, _same)
 
 
 def _texts(plan, row: bool, counted: bool) -> Callable:
@@ -238,7 +284,7 @@ def _texts(plan, row: bool, counted: bool) -> Callable:
             held.clear()
             yield from _bundles(p, codes, at, rows, counted)
 
-        for b in batches:
+        for b in _slices(batches):
             texts, rows = b.column(2).to_pylist(), b.column(0).to_numpy()
             lives = [i for i, t in enumerate(texts) if t is not None]
             n = np.full(len(texts), -1, np.int64)
@@ -284,7 +330,7 @@ def _runs(columns: list[np.ndarray], bits: int) -> tuple[np.ndarray, list[np.nda
 
     done = 64 // bits
     k = key(columns[:done], slice(None))
-    o = np.argsort(k)
+    o = np.argsort(k).astype(np.int32)
     new = differs(k[o])
     del k
     while done < len(columns):  # equal ones by further columns
@@ -310,94 +356,114 @@ def _sums_of(x: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 class _Shard:
-    """The n-grams of one depth in a shard, by order: counts, and what their contexts have. ids: which of the words each of the
-    n-grams' words is, from the last on; order_of: the places in which n-grams come out."""
+    """The n-grams of one depth in a shard, by order: counts, and, if they are to be scored, what their contexts have. ids: which of
+    the words each of the n-grams' words is, from the last on, a list that is used up; order_of: the places in which n-grams come
+    out. What follows from where an order's n-grams begin is made anew for each order, as all at once are several times the
+    n-grams' own size."""
 
-    def __init__(self, order: int, depth: int, words: np.ndarray, ids: list[np.ndarray], counted: np.ndarray | None) -> None:
+    def __init__(self, order: int, depth: int, words: np.ndarray, ids: list[np.ndarray], counted: np.ndarray | None, scores: bool) -> None:
         self.depth, self.order = depth, order
         self.n: dict[int, np.ndarray] = {}
-        self.inverse: dict[int, np.ndarray] = {}  # of the n-grams of the order above, or of the places
-        self.context: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
+        self.inverse: dict[int, np.ndarray] = {}  # of places, and of words: of the n-grams of the order above
         bits = max(1, len(words).bit_length())
-        by = [ids[1], ids[0], *ids[2:]] if order > 1 else ids
-        self.order_of, new = _runs(by, bits)
+        self.order_of, new = _runs([ids[1], ids[0], *ids[2:]] if order > 1 else ids, bits)
         at = np.flatnonzero(new[order - 1])
-        top = self.order_of[at]  # a place of each n-gram of highest order
-        self.inverse[order] = np.cumsum(new[order - 1], dtype=np.int32) - np.int32(1)
         self.n[order] = np.diff(np.append(at, len(self.order_of))).astype(np.int32) if counted is None else _sums_of(counted[self.order_of], at)
-        new = [x[at] for x in new]
-        first = {order: np.arange(len(at))}
+        if scores:
+            self.inverse[order] = np.cumsum(new[order - 1], dtype=np.int32) - np.int32(1)
+        self.new = [x[at] for x in new]  # of the n-grams of highest order: where those of each order begin
+        new, top = self.new, self.order_of[at]  # a place of each n-gram of highest order
+        del at
+        for k in range(order):
+            ids[k] = ids[k][top]
+        del top
         low = max(depth, min(2, order))
         for k in range(order - 1, low - 1, -1):
-            here = new[k - 1][first[k + 1]]
-            start = np.flatnonzero(here)
-            self.inverse[k] = np.cumsum(here, dtype=np.int32) - np.int32(1)
-            first[k] = first[k + 1][start]
+            start = np.flatnonzero(new[k - 1][new[k]])
             n = _sums_of(self.n[k + 1] > 0, start)
-            begins = words[ids[k - 1][top[first[k]]]] == BOS  # these have raw counts
+            begins = words[ids[k - 1][new[k - 1]]] == BOS  # these have raw counts
             self.n[k] = np.where(begins, _sums_of(self.n[k + 1], start), n)
-        if order > depth:
-            self._contexts([x[top] for x in ids], bits, new, first)
-        base = [x[top[first[low]]] for x in ids[:low]]
+        base = [x[new[low - 1]] for x in ids[:low]]
         if depth < low:  # of words
             n = np.bincount(base[0], self.n[2] > 0, len(words)).astype(np.int32)
             there = np.bincount(base[0], minlength=len(words)) > 0
             self.inverse[1], self.n[1] = (np.cumsum(there, dtype=np.int32) - np.int32(1))[base[0]], n[there]
             base = [np.flatnonzero(there)]
         self.base = [words[x] for x in base]  # the words of the n-grams of lowest order
-
-    def _contexts(self, ids: list[np.ndarray], bits: int, new: list[np.ndarray], first: dict[int, np.ndarray]) -> None:
-        if self.order > 2:
-            o, runs = _runs(ids[1:], bits)
-        for k in range(max(2, self.depth + 1), self.order + 1):
-            if k == 2:
-                here = new[0][first[2]]
-                n, at = self.n[2], np.cumsum(here, dtype=np.int32) - np.int32(1)
-            else:
-                here, n, at = runs[k - 2], np.zeros(len(o), np.int32), np.empty(len(o), np.int32)
-                n[first[k]] = self.n[k]
-                n = n[o]
-                at[o] = np.cumsum(here, dtype=np.int32) - np.int32(1)
-                at = at[first[k]]
-            start = np.flatnonzero(here)
-            self.context[k] = at, [_sums_of(x, start) for x in (n, n == 1, n == 2, n > 2)]
+        if scores and order > max(2, depth):
+            del ids[0]
+            self.by_context = _runs(ids, bits)
+
+    def _context(self, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Which context each n-gram of an order has, and the contexts' counts: of all, and of n-grams by kind."""
+        n, first = self.n[k], np.flatnonzero(self.new[k - 1])
+        if k == 2:
+            here = self.new[0][first]
+            at = np.cumsum(here, dtype=np.int32) - np.int32(1)
+        else:
+            o, runs = self.by_context
+            here, n, at = runs[k - 2], np.zeros(len(o), np.int32), np.empty(len(o), np.int32)
+            n[first] = self.n[k]
+            n = n[o]
+            at[o] = np.cumsum(here, dtype=np.int32) - np.int32(1)
+            at = at[first]
+        start = np.flatnonzero(here)
+        return at, [_sums_of(x, start) for x in (n, n == 1, n == 2, n > 2)]
 
     def stats(self) -> dict[int, list[int]]:
-        return {k: [int(np.count_nonzero(self.n[k] == i)) for i in range(1, 5)] for k in self.context}
+        return {k: [int(np.count_nonzero(self.n[k] == i)) for i in range(1, 5)] for k in range(max(2, self.depth + 1), self.order + 1)}
 
     def log10(self, p: np.ndarray, cuts: dict[int, tuple[float, float, float]]) -> np.ndarray:
-        """Of each place, from the probabilities of the n-grams of lowest order."""
+        """Of each place, from the probabilities of the n-grams of lowest order. Uses up what the shard holds."""
         for k in range(self.depth, self.order + 1):
             if k > self.depth:
-                n, d, (at, (total, *kinds)) = self.n[k], np.array([0.0, *cuts[k]]), self.context[k]
+                at, (total, *kinds) = self._context(k)
+                n = self.n.pop(k)
                 share = 1 / np.maximum(total, 1)
                 gamma = np.where(total > 0, sum(x * y for x, y in zip(cuts[k], kinds, strict=True)) * share, 1.0)
-                p = (n - d[np.minimum(n, 3)]) * share[at] + gamma[at] * p
-            p = (np.log10(p) if k == self.order else p)[self.inverse[k]]
+                p *= gamma[at]
+                own = np.array([0.0, *cuts[k]])[np.minimum(n, 3)]
+                np.subtract(n, own, out=own)
+                own *= share[at]
+                p += own
+                del at, total, kinds, n, share, gamma, own
+            if k == self.order:
+                self.new, self.by_context = [], None
+                np.log10(p, out=p)
+            p = p[self.inverse.pop(k) if k in self.inverse else np.cumsum(self.new[k - 1][self.new[k]], dtype=np.int32) - np.int32(1)]
         return p
 
 
-def _decoded(bundles: list[dict], plan: _Plan) -> Iterator[tuple[_Shard, np.ndarray, np.ndarray | None]]:
-    """By depth: the n-grams' counts, their rows in order of places, and which of these are to be scored (None: all)."""
+def _decoded(bundles: list[dict], plan: _Plan, scores: bool = True) -> Iterator[tuple[_Shard, np.ndarray | None, np.ndarray | None]]:
+    """By depth: the n-grams' counts, and if they are to be scored, their rows in order of places, and which of these are (None:
+    all). Uses up the bundles."""
     for depth in sorted({b["depth"] for b in bundles}):
         own = [b for b in bundles if b["depth"] == depth]
         known = len(plan.words)
-        rare = [_unpack(b["rare"]) for b in own]
+        rare = [_unpack(b.pop("rare")) for b in own]
         sizes, total = [len(x) for x in rare], sum(b["row"][1] for b in own)
         u, _, new = _groups(np.concatenate(rare))
+        del rare
         ids, lo = [np.empty(total, np.uint32) for _ in range(plan.order)], 0
         for b, part in zip(own, np.split(new, np.cumsum(sizes)[:-1]), strict=True):
             code = np.concatenate([np.arange(known, dtype=np.uint32), part.astype(np.uint32) + np.uint32(known)])
-            for x, packed in zip(ids, b["words"], strict=True):
+            for x, packed in zip(ids, b.pop("words"), strict=True):
                 x[lo : lo + packed[1]] = code[_unpack(packed)]
             lo += b["row"][1]
+        del new, part, code, x, packed
+        _release()
         flag = lambda what: np.repeat([what(b) for b in own], [b["row"][1] for b in own])  # noqa: E731, B023
         counted = None if all(b["counted"] is not False for b in own) else flag(lambda b: b["counted"] is not False)
+        s = _Shard(plan.order, depth, np.concatenate([plan.words, u]), ids, counted, scores)
+        del ids, u
+        _release()
+        if not scores:
+            yield s, None, None
+            continue
         scored = None if all(b["counted"] is not True for b in own) else flag(lambda b: b["counted"] is not True)
-        s = _Shard(plan.order, depth, np.concatenate([plan.words, u]), ids, counted)
-        del ids
-        rows = np.concatenate([_unpack(b["row"]).astype(np.int64) + b["base"] for b in own])[s.order_of]
-        yield s, rows, None if scored is None else scored[s.order_of]
+        rows = np.concatenate([_unpack(b.pop("row")).astype(np.int64) + b["base"] for b in own])[s.order_of]
+        scored, s.order_of = None if scored is None else scored[s.order_of], None
+        yield s, rows, scored
 
 
 def _block(row: np.ndarray, shards: int) -> np.ndarray:
@@ -489,7 +555,7 @@ def _run(m: Trained, make: Callable[[object], tuple[list[RDD], int]]) -> RDD:
 
     def count(shard: int, items: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         own = [x for _, b in items if "words" in (x := pickle.loads(b))]
-        for s, _, _ in _decoded(own, shared.value):
+        for s, _, _ in _decoded(own, shared.value, False):
             yield shard % parts, pickle.dumps({"stats": s.stats()}, 5)
             yield from _ask(s.base, s.n[s.depth], parts, shard)
 
@@ -507,7 +573,7 @@ def _run(m: Trained, make: Callable[[object], tuple[list[RDD], int]]) -> RDD:
 
         return run
 
-    counted = bundles.mapPartitionsWithIndex(count).partitionBy(parts, _same)
+    counted = bundles.mapPartitionsWithIndex(_freed(count)).partitionBy(parts, _same)
     stats = {k: np.zeros(6, np.int64) for k in range(1, m.order + 1)}
     for x in counted.map(lambda x: pickle.loads(x[1]).get("stats")).filter(bool).toLocalIterator():
         for k, c in x.items():
@@ -515,8 +581,8 @@ def _run(m: Trained, make: Callable[[object], tuple[list[RDD], int]]) -> RDD:
     levels = {plan.depth: counted}
     for k in range(plan.depth, 0, -1):
         if k < plan.depth:
-            levels[k] = counted.union(levels[k + 1].mapPartitionsWithIndex(below(k + 1)).partitionBy(parts, _same))
-        stats[k] += sum(levels[k].mapPartitions(few(k)).collect())
+            levels[k] = counted.union(levels[k + 1].mapPartitionsWithIndex(_freed(below(k + 1))).partitionBy(parts, _same))
+        stats[k] += sum(levels[k].mapPartitions(_freed(few(k))).collect())
     cuts = {k: discounts(*map(int, x[:4])) for k, x in stats.items()}
     once, twice, _, _, types, total = map(int, stats[1])
     rest = once * cuts[1][0] + twice * cuts[1][1] + (types - once - twice) * cuts[1][2]
@@ -539,9 +605,9 @@ def _run(m: Trained, make: Callable[[object], tuple[list[RDD], int]]) -> RDD:
 
     both = bundles
     for k in range(1, plan.depth + 1):
-        both = both.union(levels[k].mapPartitionsWithIndex(answer(k, False)).partitionBy(shards, _same))
+        both = both.union(levels[k].mapPartitionsWithIndex(_freed(answer(k, False))).partitionBy(shards, _same))
         if k < plan.depth:
-            levels[k + 1] = levels[k + 1].union(levels[k].mapPartitionsWithIndex(answer(k, True)).partitionBy(parts, _same))
+            levels[k + 1] = levels[k + 1].union(levels[k].mapPartitionsWithIndex(_freed(answer(k, True))).partitionBy(parts, _same))
 
     def score_shard(items: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         own, given, n = [], {}, shared.value.shards
@@ -575,7 +641,7 @@ def _run(m: Trained, make: Callable[[object], tuple[list[RDD], int]]) -> RDD:
                 k = o[lo:hi]
                 yield int(block[k[0]]), pickle.dumps({"row": _pack(np.diff(u[k], prepend=0)), "v": _pack(v[k].view(np.uint64) & ~np.uint64(0xFFFF))}, 5)
 
-    return both.mapPartitions(score_shard).partitionBy(shards, _same)
+    return both.mapPartitions(_freed(score_shard)).partitionBy(shards, _same)
 
 
 def _sums(items: Iterator[tuple[int, bytes]]) -> tuple[list[pa.Table], np.ndarray, np.ndarray]:
@@ -629,7 +695,7 @@ def _score_grams(grams: DataFrame, m: Trained) -> DataFrame:
         _, row, v = _sums(items)
         yield _bytes(pa.table({"h": row, "v": v}))
 
-    return _table(m.spark, _run(m, make).mapPartitions(out), "h bigint, v double")
+    return _table(m.spark, _run(m, make).mapPartitions(_freed(out)), "h bigint, v double")
 
 
 def _rows(df: DataFrame, id_col: str | None, text_col: str) -> DataFrame:
@@ -656,7 +722,7 @@ def score(df: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: str
             yield _bytes(pa.table([t["doc_id"], pa.array(n, mask=none), pa.array(log, mask=none), pa.array(ppl, mask=none)], names=["doc_id", "n_symbols", "log10_prob", "perplexity"]))
 
     kind = df.schema[id_col].dataType.simpleString()
-    return _table(m.spark, _run(m, make).mapPartitions(out), f"doc_id {kind}, n_symbols bigint, log10_prob double, perplexity double")
+    return _table(m.spark, _run(m, make).mapPartitions(_freed(out)), f"doc_id {kind}, n_symbols bigint, log10_prob double, perplexity double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

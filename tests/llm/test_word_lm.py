@@ -93,3 +93,48 @@ def test_words_of_any_length():
     codes, lens = word_lm.symbols(["A  b\ta", "", " ".join(long)], 3)
     k = word_lm._Words()
     assert lens.tolist() == [6, 3, 9] and codes.tolist() == [0, 0, k["a"], k["b"], k["a"], 1, 0, 0, 1, 0, 0, *(k[w] for w in long if w), 1]
+
+
+def test_memory_a_position():
+    """Most that a shard's decoding, counting and scoring hold at once, beside the bundles it gets."""
+    import tracemalloc
+
+    import numpy as np
+
+    n, rng = 200_000, np.random.default_rng(1)
+    words = np.unique(rng.integers(2, 1 << 63, 3000, dtype=np.uint64))
+    codes = words[(len(words) * rng.random(n) ** 3).astype(int)]
+    plan = word_lm._Plan(5, 1, [np.zeros(0, np.uint64)] * 4, words[:1000])
+    bundles = [x for _, x in word_lm._bundles(plan, codes, np.arange(4, n), np.arange(4, n) // 100, None)]
+    tracemalloc.start()
+    try:
+        for s, rows, _ in word_lm._decoded(bundles, plan):
+            out = s.log10(np.full(len(s.base[0]), 1e-3), dict.fromkeys(range(1, 6), (0.5, 1.0, 1.5)))
+            assert len(out) == len(rows) == n - 4
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 150 * n
+
+
+@pytest.mark.skipif(not word_lm._TRIM, reason="no malloc_trim")
+def test_tasks_give_memory_back():
+    """What a task freed doesn't stay with its worker, though something above it is still in use."""
+    from pathlib import Path
+
+    import numpy as np
+
+    def rss() -> int:
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+
+    kept = []
+
+    def run(items):
+        held = [np.zeros(2000, np.uint8) + np.uint8(x) for x in items for _ in range(60_000)]
+        kept.append((rss(), held[-1]))
+        yield len(held)
+
+    word_lm._release()
+    before = rss()
+    assert list(word_lm._freed(run)([1])) == [60_000]
+    assert kept[0][0] - before > 100e6 and rss() - before < 40e6
