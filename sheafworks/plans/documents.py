@@ -105,7 +105,7 @@ def files(spark: SparkSession, sf_dir: str, make: Callable[[int, str, str], byte
     """(conv_id, turn, content) of every row of conversations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in readers.slices(batches):
             rows = zip(*(b.column(k).to_pylist() for k in range(4)))
             made = [make(c * 10 + t, role or "", text or "") for c, t, role, text in rows]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(made, pa.binary())], names=["conv_id", "turn", "content"])

@@ -22,6 +22,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sheafworks import schemas as S
 from sheafworks.session import local_path
@@ -29,6 +30,16 @@ from sheafworks.session import local_path
 MAX_MEMBER_BYTES = 10 * 1024 * 1024
 
 
+#: So many rows of documents are Python objects at once; a batch has up to 10,000.
+SLICE = 200
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def listing(spark: SparkSession, paths: str, base_url: str = "") -> DataFrame:
     """Lines of (gzipped) crawl listings, as full addresses."""
     return spark.read.text(paths).select(F.concat(F.lit(base_url), F.col("value")).alias("uri"))
@@ -539,11 +550,14 @@ def parse_docx(content: bytes | None, max_bytes: int = MAX_MEMBER_BYTES) -> dict
 def documents(df: DataFrame, content: str = "content", max_bytes: int = MAX_MEMBER_BYTES) -> DataFrame:
     """The rows with a struct column ``docx``; failed ones have ``docx.error``, so they can go to a dead-letter table."""
 
-    @F.pandas_udf(_DOCX)
-    def parsed(contents: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse_docx(None if c is None else bytes(c), max_bytes) for c in contents], columns=_DOCX.fieldNames())
+    @F.arrow_udf(_DOCX)
+    def parsed(contents: pa.Array) -> pa.Array:
+        kind = to_arrow_type(_DOCX)
+        parts = [pa.array([parse_docx(c, max_bytes) for c in contents.slice(at, SLICE).to_pylist()], kind) for at in range(0, len(contents), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    return df.withColumn("docx", parsed(F.col(content)))
+    # not deterministic for the planner, which else parses once more for each filter on the result, by another Python process
+    return df.withColumn("docx", parsed.asNondeterministic()(F.col(content)))
 
 
 def predict_languages(df: DataFrame, text: Column, predict: Callable[[list[str]], list[dict[str, float]]], name: str = "languages", k: int = 5) -> DataFrame:
