@@ -21,9 +21,8 @@ _WIDE = (("—", " - "), ("．", ". "), ("…", "..."))
 
 @functools.lru_cache(maxsize=1)
 def _numeral_letters() -> str:
-    """Letters that have a numeric value (CJK numerals), as a character class."""
-    letters = [c for c in range(0x3400, 0x30000) if chr(c).isnumeric() and unicodedata.category(chr(c))[0] != "N"]
-    return "[" + "".join(rf"\x{{{c:X}}}" for c in letters) + "]"
+    """Letters that have a numeric value (CJK numerals)."""
+    return "".join(c for c in map(chr, range(0x3400, 0x30000)) if c.isnumeric() and unicodedata.category(c)[0] != "N")
 
 
 def words(text: Column) -> Column:
@@ -38,7 +37,9 @@ def metrics(text: Column) -> dict[str, Column]:
     chars = F.length(text)
     letters = chars - F.length(rest)
     digits = F.length(rest) - F.length(F.regexp_replace(rest, r"\p{N}+", ""))
-    numbers = digits + F.regexp_count(text, F.lit(_numeral_letters()))
+    # a class of so many single letters is compared with one by one, at every character; these are looked up, and only where they can be
+    wide = F.regexp_replace(text, r"[^\x{3400}-\x{2FFFF}]+", "")
+    numbers = digits + F.length(wide) - F.length(F.translate(wide, _numeral_letters(), ""))
     both = letters + digits
     n_words = F.regexp_count(F.regexp_replace(text, PUNCT, ""), F.lit(r"(?U)\S+"))
     return {
