@@ -21,6 +21,10 @@ def _groups(cells: DataFrame, table: str, pos: str, size: str, cross: str, exten
     not merged); then the span from the greatest position over the least size takes in every cell that covers it, and the
     result reaches from the first to the last of these."""
     flat = cells.select(table, F.col("bbox.x").alias("x"), F.col("bbox.y").alias("y"), F.col("bbox.width").alias("width"), F.col("bbox.height").alias("height"))
+    # dealt out by table once, so that neither joins nor groups shuffle again, in a number of tasks that adaptive execution doesn't lower:
+    # each sorts its cells several times at once
+    spark = cells.sparkSession
+    flat = flat.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), table)
     at = flat.select(table, F.col(pos).alias("_at")).distinct()
     near = G.is_close(F.col(pos), F.col("_at"), 1e-9, TOLERANCE)
     a, b = at.alias("a"), flat.alias("b")
