@@ -16,15 +16,15 @@ def cells_in_tables(cells: DataFrame, tables: DataFrame, page: str = "page_id")
     return c.join(t, (F.col(f"c.{page}") == F.col(f"t.{page}")) & G.contained(F.col("c.bbox"), F.col("t.bbox"))).select("t.table_id", "c.cell_id", "c.bbox")
 
 
-def _groups(cells: DataFrame, table: str, pos: str, size: str, cross: str, extent: str) -> DataFrame:
+def _groups(cells: DataFrame, table: str, pos: str, size: str, cross: str, extent: str, deal: bool = False) -> DataFrame:
     """A group for each distinct position of a table's cells: all cells at most TOLERANCE away (groups may share cells and are
     not merged); then the span from the greatest position over the least size takes in every cell that covers it, and the
     result reaches from the first to the last of these."""
     flat = cells.select(table, F.col("bbox.x").alias("x"), F.col("bbox.y").alias("y"), F.col("bbox.width").alias("width"), F.col("bbox.height").alias("height"))
-    # dealt out by table once, so that neither joins nor groups shuffle again, in a number of tasks that adaptive execution doesn't lower:
+    # with ``deal``, for cells that are stored: dealt out by table once, so that neither joins nor groups shuffle again, in a number of tasks that adaptive execution doesn't lower:
     # each sorts its cells several times at once
     spark = cells.sparkSession
-    flat = flat.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), table)
+    flat = flat if not deal else flat.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), table)
     at = flat.select(table, F.col(pos).alias("_at")).distinct()
     near = G.is_close(F.col(pos), F.col("_at"), 1e-9, TOLERANCE)
     a, b = at.alias("a"), flat.alias("b")
@@ -35,12 +35,12 @@ def _groups(cells: DataFrame, table: str, pos: str, size: str, cross: str, exten
     return full.select(table, F.col("_at").alias(f"group_{pos}"), F.col("_lo").alias(cross), F.col("_pos").alias(pos), (F.col("_hi") - F.col("_lo")).alias(extent), F.col("_size").alias(size), "n_near", "n_cells")
 
 
-def rows(cells: DataFrame, table: str = "table_id") -> DataFrame:
-    return _groups(cells, table, "y", "height", "x", "width")
+def rows(cells: DataFrame, table: str = "table_id", deal: bool = False) -> DataFrame:
+    return _groups(cells, table, "y", "height", "x", "width", deal)
 
 
-def columns(cells: DataFrame, table: str = "table_id") -> DataFrame:
-    return _groups(cells, table, "x", "width", "y", "height")
+def columns(cells: DataFrame, table: str = "table_id", deal: bool = False) -> DataFrame:
+    return _groups(cells, table, "x", "width", "y", "height", deal)
 
 
 def infer(cells: DataFrame, headers: DataFrame, tables: DataFrame, page: str = "page_id") -> dict[str, DataFrame]:

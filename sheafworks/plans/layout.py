@@ -126,12 +126,12 @@ def _groups_sql(pos: str, size: str, cross: str, extent: str, names: tuple[str,
 
 @query("table_rows", _groups_sql("y", "h", "x", "w", ("y", "height", "x", "width")))
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.rows(_boxes(spark, sf_dir, CELLS))
+    return tables.rows(_boxes(spark, sf_dir, CELLS), deal=True)
 
 
 @query("table_columns", _groups_sql("x", "w", "y", "h", ("x", "width", "y", "height")))
 def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.columns(_boxes(spark, sf_dir, CELLS))
+    return tables.columns(_boxes(spark, sf_dir, CELLS), deal=True)
 
 
 @query("cells_in_tables", f"""WITH c AS ({CELLS}), t AS (SELECT DISTINCT table_id AS page_id FROM c) SELECT t.page_id AS table_id, c.cell_id FROM c JOIN t ON c.table_id = t.page_id
